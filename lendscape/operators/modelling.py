@@ -19,6 +19,7 @@ from .evaluation import auc_roc, binary_metrics, risk_rating
 
 FEATURES_COLUMN = "_features"
 WORK_PREFIX = "_f_"
+MAX_BINS = 64  # at least the largest number of categories of one feature
 
 
 def preparation_stages(
@@ -63,24 +64,23 @@ def train_default_model(
     matrix = prepared.transform(df.withColumn("weight", weight)).select(
         V.TARGET, "weight", "is_test", FEATURES_COLUMN
     )
-    trees = GBTClassifier(
+    booster = GBTClassifier(
         labelCol=V.TARGET,
         featuresCol=FEATURES_COLUMN,
+        predictionCol="_prediction",
         weightCol="weight",
         validationIndicatorCol="is_test",
         validationTol=V.PATIENCE_TOL,
         maxDepth=depth,
         stepSize=V.LEARNING_RATE,
         maxIter=rounds,
-        maxBins=64,
+        maxBins=MAX_BINS,
         seed=V.SPLIT_SEED,
         maxMemoryInMB=512,
         cacheNodeIds=True,
         checkpointInterval=10,
-        predictionCol="_prediction",
-        probabilityCol="_probability",
-        rawPredictionCol="_raw",
-    ).fit(matrix)
+    )
+    trees = booster.setProbabilityCol("_probability").setRawPredictionCol("_raw").fit(matrix)
     return PipelineModel(stages=[*prepared.stages, trees])
 
 

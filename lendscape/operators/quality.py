@@ -9,8 +9,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType, IntegerType
 
 from .. import fixed_values as V
+from ..schema import CORRUPT_COLUMN
 from .features import as_date
 
+MALFORMED = "Malformed line"
+
 
 def violations(as_of=None, include_future: bool = True) -> dict[str, tuple[Column, str]]:
     """``{check name: (condition that marks a bad row, wording)}``.
@@ -60,8 +63,13 @@ def quality_passed(report: DataFrame) -> bool:
 
 
 def tag_violations(df: DataFrame, as_of=None) -> DataFrame:
-    """Add ``failed_checks``: the names of the checks each row fails."""
+    """Add ``failed_checks``: the names of the checks each row fails.
+
+    A row read from a malformed line fails too, even if its key columns parsed.
+    """
     names = [F.when(bad, F.lit(name)) for name, (bad, _) in violations(as_of).items()]
+    if CORRUPT_COLUMN in df.columns:
+        names.append(F.when(F.col(CORRUPT_COLUMN).isNotNull(), F.lit(MALFORMED)))
     return df.withColumn("failed_checks", F.array_compact(F.array(*names)))
 
 

@@ -42,14 +42,12 @@ def ingest(
     df = keep(read_source_data(spark, source), "source")
     report = keep(run_quality_checks(df, as_of).coalesce(1), "quality-report")
     passed = quality_passed(report)
-    rows = df.drop(CORRUPT_COLUMN)
-    written = None
+    rows, written = df, None
     if gate == "quarantine":
-        rows, _ = split_quarantine(rows, as_of)
-        _, rejected = split_quarantine(df, as_of)
+        rows, rejected = split_quarantine(df, as_of)
         write_to_bronze(rejected, quarantine, keys=("record_hash",), partitions=(), fmt=fmt)
     if passed or gate in ("warn", "quarantine"):
-        written = write_to_bronze(rows, bronze, fmt=fmt)
+        written = write_to_bronze(rows.drop(CORRUPT_COLUMN), bronze, fmt=fmt)
         if compact:
             compact_partitions(spark, bronze, V.BRONZE_PARTITIONS)
     return IngestResult(passed, written, report)

@@ -32,18 +32,23 @@ def read_csv(spark: SparkSession, path: str | Sequence[str], schema: StructType
 
 
 def with_audit(
-    df: DataFrame, columns: Sequence[str] | None = None, null_safe: bool = False, at: str | None = None
+    df: DataFrame,
+    columns: Sequence[str] | None = None,
+    null_safe: bool = False,
+    at: str | None = None,
+    origin: str | None = None,
 ) -> DataFrame:
     """Add ``ingestion_timestamp``, ``source_file`` and ``record_hash``.
 
     The hash covers the source columns only, so that re-reading a file gives
-    the same hashes. ``at`` replaces the current time.
+    the same hashes. ``at`` replaces the current time, and ``origin`` the file
+    name, which a frame joined from several sources does not have.
     """
     columns = list(columns or [n for n in df.columns if n != CORRUPT_COLUMN])
     return df.withColumns(
         {
             "ingestion_timestamp": F.current_timestamp() if at is None else F.lit(at).cast("timestamp"),
-            "source_file": F.input_file_name(),
+            "source_file": F.input_file_name() if origin is None else F.lit(origin),
             "record_hash": record_hash(columns, null_safe),
         }
     )

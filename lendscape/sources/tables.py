@@ -156,6 +156,8 @@ def register_table(spark: SparkSession, name: str, path: str, fmt: str = "parque
         spark.sql(f"CREATE SCHEMA IF NOT EXISTS {name.split('.')[0]}")
     spark.sql(f"DROP TABLE IF EXISTS {name}")
     spark.catalog.createTable(name, path=path, source=fmt)
+    if fmt != "delta" and any(column.isPartition for column in spark.catalog.listColumns(name)):
+        spark.catalog.recoverPartitions(name)
 
 
 def analyze_table(spark: SparkSession, name: str, columns: bool = False) -> None:
