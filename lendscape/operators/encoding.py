@@ -89,15 +89,14 @@ def stratified_split(
 
     Each class is cut at the hash value of its last test row. The cut is found
     on counted hash values, so rows are neither ranked nor moved; rows that
-    share the cut's hash value stay together.
+    share the cut's hash value stay together. A row without a label is neither
+    training nor test data: its ``is_test`` is NULL.
     """
-    hashed = df.select(F.col(label), unit_hash(key, seed).alias("u"))
+    hashed = df.where(F.col(label).isNotNull()).select(label, unit_hash(key, seed).alias("u"))
     counts = hashed.groupBy(label, "u").agg(F.count(F.lit(1)).alias("n"))
     ranked = running_totals(counts, [F.col("u")], ["n"], [label])
-    sizes = ranked.groupBy(label).agg(F.sum("n").alias("class_size"))
     cuts = keep(
-        ranked.join(sizes, label)
-        .where(F.col("cum_n") >= F.round(F.col("class_size") * F.lit(share)))
+        ranked.where(F.col("cum_n") >= F.round(F.col("all_n") * F.lit(share)))
         .groupBy(label)
         .agg(F.min("u").alias("_cut")),
         "split-cuts",

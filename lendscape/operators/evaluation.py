@@ -106,12 +106,10 @@ def roc_curve(df: DataFrame, label: str, score: str, origin: bool = True) -> Dat
 
     ``origin`` adds the point (0, 0) at an infinite threshold.
     """
-    counts = _score_counts(df, label, score)
-    totals = counts.agg(F.struct(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))).scalar()
-    ranked = running_totals(counts, [F.desc("score")], ["pos", "neg"])
+    ranked = running_totals(_score_counts(df, label, score), [F.desc("score")], ["pos", "neg"])
     points = ranked.select(
-        F.try_divide(F.col("cum_neg").cast("double"), totals.getField("neg")).alias("fpr"),
-        F.try_divide(F.col("cum_pos").cast("double"), totals.getField("pos")).alias("tpr"),
+        F.try_divide(F.col("cum_neg").cast("double"), F.col("all_neg")).alias("fpr"),
+        F.try_divide(F.col("cum_pos").cast("double"), F.col("all_pos")).alias("tpr"),
         F.col("score").cast("double").alias("threshold"),
     )
     if not origin:

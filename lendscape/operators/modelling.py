@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.errors import AnalysisException
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier
@@ -77,10 +78,14 @@ def train_default_model(
         maxBins=MAX_BINS,
         seed=V.SPLIT_SEED,
         maxMemoryInMB=512,
-        cacheNodeIds=True,
         checkpointInterval=10,
     )
-    trees = booster.setProbabilityCol("_probability").setRawPredictionCol("_raw").fit(matrix)
+    booster.setProbabilityCol("_probability").setRawPredictionCol("_raw")
+    matrix.persist(StorageLevel.MEMORY_AND_DISK)  # read in every round
+    try:
+        trees = booster.fit(matrix)
+    finally:
+        matrix.unpersist()
     return PipelineModel(stages=[*prepared.stages, trees])
 
 

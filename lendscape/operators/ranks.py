@@ -13,13 +13,15 @@ from ..session import keep
 def running_totals(
     df: DataFrame, order: Sequence[Column], measures: Sequence[str], within: Sequence[str] = ()
 ) -> DataFrame:
-    """Add ``cum_<measure>``: the inclusive running total along ``order``.
+    """Add ``cum_<measure>``, the inclusive running total along ``order``, and
+    ``all_<measure>``, the group's total.
 
     Rows are range-partitioned along the order, so that slices are balanced
     however the values are spread. Each slice is summed, the few slice totals
     are accumulated, and every row adds its slice's offset to the total inside
     the slice. Slice numbers are written before use: range bounds are sampled
-    and must not be drawn twice. Give one row per order value.
+    and must not be drawn twice. Give one row per order value, and no NULL in
+    the ``within`` columns.
     """
     order, within = list(order), list(within)
     sliced = keep(
@@ -29,12 +31,17 @@ def running_totals(
         "slices",
     )
     parts = [*within, "_slice"]
-    # at most one row per slice and group: the window sorts these few rows only
-    before = Window.partitionBy(*within).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    # one row per slice, and one more where a group starts inside a slice
+    group = Window.partitionBy(*within)
+    before = group.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
         sliced.groupBy(*parts)
         .agg(*[F.sum(m).alias(m) for m in measures])
-        .select(*parts, *[F.coalesce(F.sum(m).over(before), F.lit(0)).alias(f"_off_{m}") for m in measures])
+        .select(
+            *parts,
+            *[F.coalesce(F.sum(m).over(before), F.lit(0)).alias(f"_off_{m}") for m in measures],
+            *[F.sum(m).over(group).alias(f"all_{m}") for m in measures],
+        )
     )
     inside = (
         Window.partitionBy(*parts).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -63,16 +70,14 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], probabilities: Sequen
     Values are counted before they are ranked, so the data shuffled is one row
     per distinct value; no task holds a whole column.
     """
-    ranked = running_totals(value_counts(df, columns), [F.col("value")], ["n"], ["feature"])
-    totals = ranked.groupBy("feature").agg(F.max("cum_n").alias("total"))
-    hit = ranked.join(totals, "feature")
+    hit = running_totals(value_counts(df, columns), [F.col("value")], ["n"], ["feature"])
     picks = []
     for i, p in enumerate(probabilities):
-        position = (F.col("total") - 1) * F.lit(float(p))
+        position = (F.col("all_n") - 1) * F.lit(float(p))
         for side, index in (("lo", F.floor(position)), ("hi", F.ceil(position))):
             holds = (F.col("cum_n") - F.col("n") <= index) & (index < F.col("cum_n"))
             picks.append(F.max(F.when(holds, F.col("value"))).alias(f"{side}{i}"))
-    bounds = hit.groupBy("feature").agg(F.max("total").alias("total"), *picks)
+    bounds = hit.groupBy("feature").agg(F.max("all_n").alias("total"), *picks)
     results = []
     for i, p in enumerate(probabilities):
         position = (F.col("total") - 1) * F.lit(float(p))
@@ -85,4 +90,4 @@ def positions(df: DataFrame, order: Sequence[str], within: Sequence[str] = ()) -
     """Add ``position`` (from 1) along the order in each group; rows must be distinct in it."""
     counted = df.withColumn("_one", F.lit(1).cast("bigint"))
     ranked = running_totals(counted, [F.col(name) for name in order], ["_one"], within)
-    return ranked.withColumnRenamed("cum__one", "position").drop("_one")
+    return ranked.withColumnRenamed("cum__one", "position").drop("_one", "all__one")

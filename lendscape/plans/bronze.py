@@ -40,7 +40,7 @@ def ingest(
         raise ValueError("the quarantine gate needs a quarantine path")
     # parsed once: checks, key lookup and write read columns instead of text
     df = keep(read_source_data(spark, source), "source")
-    report = keep(run_quality_checks(df, as_of).coalesce(1), "quality-report")
+    report = keep(run_quality_checks(df, as_of), "quality-report")
     passed = quality_passed(report)
     rows, written = df, None
     if gate == "quarantine":

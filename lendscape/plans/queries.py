@@ -17,7 +17,7 @@ from ..functions.keys import padded_key, record_hash
 from ..operators import dashboard, encoding, evaluation, features, modelling, portfolio, quality, selection, versions
 from ..operators.group_means import group_means, join_lookup
 from ..schema import LOAN_COLUMNS
-from ..session import keep, new_path
+from ..session import keep, new_path, tune
 from ..sources import files, tables
 from ..sources.derived_loans import AS_OF, dirty_loans, loan_number, loans, loans_from, second_batch, table
 from ..streaming import ingest as stream_ingest
@@ -28,7 +28,7 @@ c = F.col
 
 
 def query(fn):
-    QUERIES[fn.__name__] = fn
+    QUERIES[fn.__name__] = lambda spark, sf: fn(tune(spark), sf)
     return fn
 
 

@@ -8,15 +8,35 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+# Seventy-column projections generate methods beyond 8000 bytes, which the JVM
+# by default never compiles: they run several times slower. A cluster should
+# start driver and executors with this flag (spark.*.extraJavaOptions).
+JVM_FLAG = "-XX:-DontCompileHugeMethods"
+# Where it is absent, this limit makes Spark split such methods instead.
+METHOD_LIMIT, DEFAULT_LIMIT, COMPILED_LIMIT = "spark.sql.codegen.hugeMethodLimit", "65535", "8000"
+
+
+def tune(spark: SparkSession) -> SparkSession:
+    """Keep wide projections compiled on a session started without the JVM flag."""
+    options = " ".join(
+        spark.conf.get(f"spark.{side}.extraJavaOptions", None) or "" for side in ("driver", "executor")
+    )
+    if JVM_FLAG not in options and spark.conf.get(METHOD_LIMIT, DEFAULT_LIMIT) == DEFAULT_LIMIT:
+        spark.conf.set(METHOD_LIMIT, COMPILED_LIMIT)
+    return spark
+
+
 def local_session(app: str = "lendscape", cores: int | str = "*", partitions: int = 8) -> SparkSession:
     """Session for tests and the bench; a cluster supplies its own."""
-    return (
+    return tune(
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
         .config("spark.sql.shuffle.partitions", str(partitions))
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.driver.memory", "8g")
+        .config("spark.driver.extraJavaOptions", JVM_FLAG)
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
@@ -29,17 +49,15 @@ def shared_folder(spark: SparkSession) -> str:
     Only a local master may fall back to a temporary folder: on a cluster
     other machines could not read what one of them wrote there.
     """
-    configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if configured:
-        if not spark.sparkContext.getCheckpointDir():
-            spark.sparkContext.setCheckpointDir(configured)
-        return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    folder = tempfile.mkdtemp(prefix="lendscape-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    spark.sparkContext.setCheckpointDir(folder)
-    return folder
+    context = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if not folder:
+        if not context.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
+        folder = tempfile.mkdtemp(prefix="lendscape-")
+    if not context.getCheckpointDir():
+        context.setCheckpointDir(folder)
+    return folder.rstrip("/")
 
 
 def new_path(spark: SparkSession, label: str) -> str:

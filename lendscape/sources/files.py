@@ -91,5 +91,5 @@ def write_parquet(df: DataFrame, path: str) -> None:
 
 
 def write_lines(df: DataFrame, column: str, path: str) -> None:
-    """One text line per row, in the frame's order."""
-    df.select(F.col(column).cast("string").alias("value")).coalesce(1).write.mode("overwrite").text(path)
+    """One text line per row; the part files keep the frame's order."""
+    df.select(F.col(column).cast("string").alias("value")).write.mode("overwrite").text(path)
