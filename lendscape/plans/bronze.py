@@ -38,8 +38,7 @@ def ingest(
     """
     if gate == "quarantine" and not quarantine:
         raise ValueError("the quarantine gate needs a quarantine path")
-    # parsed once: checks, key lookup and write read columns instead of text
-    df = keep(read_source_data(spark, source), "source")
+    df = read_source_data(spark, source)  # its list of files is fixed here, for every pass below
     report = keep(run_quality_checks(df, as_of), "quality-report")
     passed = quality_passed(report)
     rows, written = df, None
