@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from .. import fixed_values as V
 from ..functions.binning import edge_bin, fixed_width_bin
+from ..session import keep
 from .selection import existing_columns, head_rows, high_risk
 
 
@@ -34,6 +35,7 @@ def key_metrics(df: DataFrame) -> DataFrame:
 def risk_distribution(df: DataFrame) -> DataFrame:
     """Loans per risk category with their share of the total."""
     counts = df.where(F.col("risk_category").isNotNull()).groupBy("risk_category").count()
+    counts = keep(counts, "risk-counts")  # counted once, used for the rows and for the total
     total = counts.agg(F.sum("count")).scalar()
     return counts.withColumn("share", F.col("count") / total)
 

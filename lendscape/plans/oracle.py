@@ -427,6 +427,9 @@ ORACLE: dict[str, str] = {
     "d08_high_risk_list": f"""{_LOANS} SELECT loan_id, customer_id, loan_amount, current_dpd, credit_score,
       risk_category FROM loans WHERE risk_category = 'High'
       ORDER BY current_dpd DESC, loan_amount DESC, loan_id LIMIT 20""",
+    "d09_high_risk_export": f"{_LOANS} SELECT * FROM loans WHERE risk_category = 'High'",
+    "d10_filtered_export": f"""{_LOANS} SELECT * FROM loans WHERE risk_category IN ('Low', 'Medium')
+      AND application_date BETWEEN DATE '1996-01-01' AND DATE '1999-12-31'""",
     "d11_filtered_metrics": _LOANS + _kpis(
         """risk_category IN ('High', 'Medium') AND loan_status IN ('Active', 'Closed')
            AND application_date BETWEEN DATE '1996-01-01' AND DATE '1999-12-31'"""),
@@ -475,6 +478,9 @@ ORACLE: dict[str, str] = {
     "m15_risk_rating": f"""{_FEAT} SELECT loan_id, CASE WHEN pd_proxy IS NULL THEN NULL
       WHEN pd_proxy < 1e-1 THEN 'Very Low' WHEN pd_proxy < 25e-2 THEN 'Low' WHEN pd_proxy < 5e-1 THEN 'Medium'
       WHEN pd_proxy < 75e-2 THEN 'High' ELSE 'Very High' END AS risk_rating FROM feat""",
+    "m17_run_record": f"""{_SCORED} SELECT 'score_rule' AS run, '60' AS cut,
+      round({_ratio('tp + tn', 'tp + fp + fn + tn')}, 6) AS accuracy, round({_ratio('tp', 'tp + fn')}, 6) AS recall,
+      tp + fp + fn + tn AS rows FROM cm""",
     "st1_stream_ingest": f"{_HASHED} SELECT * FROM hashed",
     "st2_stream_silver": f"""{_FEAT}, averaged AS (SELECT *, {_AVERAGES} FROM feat)
       SELECT loan_id, risk_category, loan_purpose, combined_risk_score, expected_loss_amount,

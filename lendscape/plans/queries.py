@@ -6,6 +6,7 @@ are rounded, because their last digits depend on the order of addition.
 
 from __future__ import annotations
 
+import datetime
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,6 +23,7 @@ from ..sources import files, tables
 from ..sources.derived_loans import AS_OF, dirty_loans, loan_number, loans, loans_from, second_batch, table
 from ..streaming import ingest as stream_ingest
 from ..streaming import metrics as stream_metrics
+from . import gold
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 c = F.col
@@ -597,6 +599,19 @@ def d08_high_risk_list(spark, sf):
     return dashboard.high_risk_list(loans(spark, sf))
 
 
+@query
+def d09_high_risk_export(spark, sf):
+    path = gold.export_high_risk(loans(spark, sf), new_path(spark, "export"), datetime.date(2001, 12, 31))
+    return files.split_corrupt(files.read_csv(spark, path))[0]
+
+
+@query
+def d10_filtered_export(spark, sf):
+    path = new_path(spark, "export")
+    gold.export_filtered(loans(spark, sf), path, risk=["Low", "Medium"], dates=("1996-01-01", "1999-12-31"))
+    return files.split_corrupt(files.read_csv(spark, path))[0]
+
+
 @query
 def d11_filtered_metrics(spark, sf):
     df = selection.portfolio_filter(
@@ -651,9 +666,11 @@ def m05_class_weights(spark, sf):
 
 @query
 def m06_m16_trained_scores(spark, sf):
-    """Trains on the training split and scores the whole portfolio."""
+    """Trains on the training split, saves, loads, and scores the whole portfolio."""
     data = keep(encoding.stratified_split(featured(spark, sf)), "training-data")
-    model = modelling.train_default_model(data, rounds=10, depth=4)
+    path = new_path(spark, "model")
+    modelling.save_model(modelling.train_default_model(data, rounds=10, depth=4), path)
+    model = modelling.load_model(path)
     return modelling.score_new_loans(data, model).select(
         "loan_id", "is_default", "is_test", "default_prediction", "default_probability", "risk_rating"
     )
@@ -663,7 +680,9 @@ def m06_m16_trained_scores(spark, sf):
 def m13_feature_importance(spark, sf):
     data = keep(encoding.stratified_split(featured(spark, sf)), "training-data")
     model = modelling.train_default_model(data, rounds=5, depth=4)
-    return modelling.top_features(modelling.feature_importance(spark, model), 20)
+    path = new_path(spark, "importance")
+    files.write_parquet(modelling.feature_importance(spark, model), path)
+    return modelling.top_features(files.read_parquet(spark, path), 20)
 
 
 @query
@@ -704,6 +723,23 @@ def m15_risk_rating(spark, sf):
     return featured(spark, sf).select("loan_id", evaluation.risk_rating("pd_proxy").alias("risk_rating"))
 
 
+@query
+def m17_run_record(spark, sf):
+    """Metrics and counts of a run, appended to a run table and read back."""
+    df = keep(scored(spark, sf), "scored")
+    metrics = evaluation.binary_metrics(df, "is_default", "prediction").first().asDict()
+    path = new_path(spark, "runs")
+    modelling.record_run(spark, path, "score_rule", {"cut": 60}, metrics, {"rows": df.count()})
+    run = spark.read.parquet(path)
+    return run.select(
+        "run",
+        c("params")["cut"].alias("cut"),
+        F.round(c("metrics")["accuracy"], 6).alias("accuracy"),
+        F.round(c("metrics")["recall"], 6).alias("recall"),
+        c("counts")["rows"].alias("rows"),
+    )
+
+
 # ---- streams ----------------------------------------------------------------
 
 
@@ -736,6 +772,18 @@ def st2_stream_silver(spark, sf):
     )
 
 
+@query
+def st3_stream_scoring(spark, sf):
+    """A model trained on the portfolio rates the same loans as they arrive."""
+    data = keep(encoding.stratified_split(featured(spark, sf)), "training-data")
+    model = modelling.train_default_model(data, features="smoke", rounds=5, depth=4)
+    out = new_path(spark, "rated")
+    stream = loan_stream(spark, sf).transform(features.engineer_row_features, AS_OF)
+    rated = stream_metrics.score_stream(stream, model)
+    stream_metrics.to_files(rated, out, new_path(spark, "progress")).awaitTermination()
+    return spark.read.parquet(out).select("loan_id", "default_prediction", "default_probability", "risk_rating")
+
+
 @query
 def st4_windowed_metrics(spark, sf):
     """Loans per 30-day window and purpose; the newest windows are still open."""
