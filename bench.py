@@ -32,7 +32,8 @@ def consume(df) -> None:
 
 
 def main() -> None:
-    spark = local_session("bench", CPUS, partitions=int(CPUS) if CPUS.isdigit() else 8)
+    spark = local_session("bench", CPUS, partitions=int(CPUS) if CPUS.isdigit() else 8,
+                          compile_huge=os.environ.get("BENCH_COMPILE_HUGE", "0") == "1")
     spark.sparkContext.setLogLevel("ERROR")
     work = tempfile.mkdtemp(prefix="bench-")
     csv, csv2 = f"{work}/loans_csv", f"{work}/loans_csv_2"

@@ -122,8 +122,9 @@ def roc_curve(df: DataFrame, label: str, score: str, origin: bool = True) -> Dat
 
 def calibrate_probability_bins(df: DataFrame, label: str, probability: str, n_bins: int = 10) -> DataFrame:
     """Observed default rate and count per equal-width probability bin, empty bins included."""
-    span = df.agg(F.struct(F.min(probability).alias("lo"), F.max(probability).alias("hi"))).scalar()
-    number = equal_width_bin(probability, span.getField("lo"), span.getField("hi"), n_bins)
+    low, high = df.agg(F.min(probability), F.max(probability)).first()
+    low, high = F.lit(low).cast("double"), F.lit(high).cast("double")
+    number = equal_width_bin(probability, low, high, n_bins)
     found = (
         df.select(number.alias("bin"), F.col(label).alias("label"))
         .where("bin IS NOT NULL")
@@ -131,13 +132,13 @@ def calibrate_probability_bins(df: DataFrame, label: str, probability: str, n_bi
         .agg(F.avg("label").alias("actual_default_rate"), F.count("label").alias("count"))
     )
     spine = df.sparkSession.range(1, n_bins + 1).select(F.col("id").cast("int").alias("bin"))
-    width = (span.getField("hi") - span.getField("lo")) / float(n_bins)
+    width = (high - low) / float(n_bins)
     return (
         spine.join(found, "bin", "left")
         .select(
             "bin",
-            (span.getField("lo") + (F.col("bin") - 1) * width).alias("bin_low"),
-            (span.getField("lo") + F.col("bin") * width).alias("bin_high"),
+            (low + (F.col("bin") - 1) * width).alias("bin_low"),
+            (low + F.col("bin") * width).alias("bin_high"),
             "actual_default_rate",
             F.coalesce("count", F.lit(0)).alias("count"),
         )

@@ -26,8 +26,14 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def local_session(app: str = "lendscape", cores: int | str = "*", partitions: int = 8) -> SparkSession:
-    """Session for tests and the bench; a cluster supplies its own."""
+def local_session(
+    app: str = "lendscape", cores: int | str = "*", partitions: int = 8, compile_huge: bool = True
+) -> SparkSession:
+    """Session for tests and the bench; a cluster supplies its own.
+
+    Compiling huge methods pays off in jobs of minutes, splitting them in jobs
+    of seconds, which end before the compiler is done.
+    """
     return tune(
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
@@ -36,7 +42,7 @@ def local_session(app: str = "lendscape", cores: int | str = "*", partitions: in
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.driver.memory", "8g")
-        .config("spark.driver.extraJavaOptions", JVM_FLAG)
+        .config("spark.driver.extraJavaOptions", JVM_FLAG if compile_huge else "")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
