@@ -82,7 +82,7 @@ def test_repeated_rows_of_a_batch_stay(spark, book, folder):
     """A batch is not deduplicated; a record that is a third of it included."""
     path = f"{folder}/bronze"
     tables.write_to_bronze(stamped(book.orderBy("loan_id").limit(100)), path)
-    hot = book.orderBy(F.desc("loan_id")).limit(1).crossJoin(spark.range(500)).drop("id")
+    hot = book.orderBy(F.desc("loan_id")).limit(1).withColumn("i", F.explode(F.sequence(F.lit(1), F.lit(500)))).drop("i")
     batch = stamped(book.unionByName(hot))
     tables.write_to_bronze(batch, path)
     assert spark.read.parquet(path).count() == book.count() + 500
