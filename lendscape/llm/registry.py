@@ -2,10 +2,17 @@
 
 from __future__ import annotations
 
-from lendscape.llm import quality_rules, secret_scan
+from lendscape.llm import line_chunks, quality_rules, secret_scan, warc
 
 QUERIES = {
+    "op3_line_dedup": line_chunks.op3_line_dedup,
     "op4_secret_scan": secret_scan.op4_secret_scan,
+    "op7_warc": warc.op7_warc,
     "op10_quality_rules": quality_rules.op10_quality_rules,
 }
-ORACLE = {"op4_secret_scan": secret_scan.OP4_SQL, "op10_quality_rules": quality_rules.OP10_SQL}
+ORACLE = {
+    "op3_line_dedup": line_chunks.OP3_SQL,
+    "op4_secret_scan": secret_scan.OP4_SQL,
+    "op7_warc": warc.OP7_SQL,
+    "op10_quality_rules": quality_rules.OP10_SQL,
+}
