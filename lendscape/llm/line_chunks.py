@@ -2,7 +2,8 @@ r"""Removal of repeated passages by content-defined chunks of lines.
 
 A rolling hash over the hashes of neighbouring lines decides where a chunk
 ends, so that a passage is cut the same way wherever it stands and whatever
-precedes it. A line of fifty words or more is a chunk of its own. Chunks of
+precedes it. A line of fifty words or more (49 blanks: counting blanks is much cheaper than
+splitting words) is a chunk of its own. Chunks of
 several lines (or one such long line) that occur more than once anywhere are
 compared byte by byte; the first occurrence by document id and position stays,
 the others are removed.
@@ -12,7 +13,7 @@ where a hash repeats.
 
 Defined cases: a NULL text is an empty one; documents without an id come after
 all others; rows that repeat both id and text are the same document, and keep or
-lose the same chunks; chunks below ``min_words`` words stay; an empty table
+lose the same chunks; chunks below ``min_chars`` characters stay; an empty table
 gives an empty result; other columns stay as they are.
 """
 
@@ -21,14 +22,18 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lendscape.llm.common import fresh, table, text_of, words_of
+from lendscape.llm.common import WORD, fresh, table, text_of
 from lendscape.session import keep
 
 # Fixed values
 DIVISOR = 3
 MODULUS, FACTOR = 1_000_003, 31
-LONG_LINE = 50
-MIN_WORDS = 10
+LONG_LINE = 49  # blanks: fifty words
+MIN_CHARS = 50
+
+
+def blanks(text: Column) -> Column:
+    return F.length(text) - F.length(F.replace(text, F.lit(" "), F.lit("")))
 
 
 def with_chunks(docs: DataFrame, text: str, divisor: int = DIVISOR, long_line: int = LONG_LINE) -> tuple[DataFrame, str]:
@@ -37,33 +42,39 @@ def with_chunks(docs: DataFrame, text: str, divisor: int = DIVISOR, long_line: i
     With the blank, two line feeds in a row can only be a chunk's end: one join
     and one split cut a text of any length in linear time.
     """
-    lines, hashes, long, chunks = fresh(docs, "_lines", "_hashes", "_long", "chunks")
+    lines, chunks = fresh(docs, "_lines", "chunks")
     step = docs.withColumn(lines, F.split(text_of(docs[text]), "\n"))
-    step = step.withColumn(
-        hashes, F.transform(lines, lambda x: F.conv(F.substring(F.md5(x.cast("binary")), 1, 7), 16, 10).cast("long"))
-    ).withColumn(long, F.transform(lines, lambda x: F.size(words_of(x)) >= long_line))
+    hashes = F.transform(lines, lambda x: F.conv(F.substring(F.md5(x.cast("binary")), 1, 7), 16, 10).cast("long"))
+    long = F.transform(lines, lambda x: blanks(x) >= long_line)
+    # Neighbours are zipped in, not looked up: the optimizer may inline these
+    # arrays, and a lookup of an inlined array would compute it for every line.
+    before = F.slice(F.concat(F.array(F.lit(0).cast("long")), hashes), F.lit(1), F.size(lines))
+    after = F.slice(long, F.lit(2), F.size(lines))
+    zipped = F.arrays_zip(
+        F.col(lines).alias("line"), hashes.alias("hash"), before.alias("before"), long.alias("long"), after.alias("after")
+    )
 
-    def marked(line: Column, i: Column) -> Column:
-        rolled = F.get(hashes, i) * FACTOR + F.coalesce(F.get(hashes, i - 1), F.lit(0))
-        ends = (rolled % MODULUS % divisor == 0) | F.get(long, i) | F.coalesce(F.get(long, i + 1), F.lit(False))
-        return F.concat(F.lit(" "), line, F.when(ends & (i < F.size(lines) - 1), "\n").otherwise(""))
+    def marked(x: Column) -> Column:
+        ends = ((x["hash"] * FACTOR + x["before"]) % MODULUS % divisor == 0) | x["long"] | x["after"]
+        return F.concat(F.lit(" "), x["line"], F.when(ends & x["after"].isNotNull(), "\n").otherwise(""))
 
-    step = step.withColumn(chunks, F.split(F.array_join(F.transform(lines, marked), "\n"), "\n\n"))
+    step = step.withColumn(chunks, F.split(F.array_join(F.transform(zipped, marked), "\n"), "\n\n"))
     return step.select(*(step[c] for c in docs.columns), chunks), chunks
 
 
 def remove_repeats(
-    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min_words: int = MIN_WORDS,
+    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min_chars: int = MIN_CHARS,
     divisor: int = DIVISOR, long_line: int = LONG_LINE,
 ) -> tuple[DataFrame, str]:
     """``docs`` with ``text`` replaced, and a struct ``removed`` of counts; and that column's name."""
     own = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("t"))
     cut, chunks = with_chunks(own, "t", divisor, long_line)
-    n_lines = F.size(F.split("chunk", "\n"))
+    chunk = F.col("chunk")
+    several = chunk.contains("\n")
     pieces = (
-        cut.select("id", F.xxhash64(text_of(F.col("t"))).alias("version"), F.posexplode(chunks).alias("at", "chunk"))
-        .withColumn("words", F.size(words_of(F.col("chunk"))))
-        .where((F.col("words") >= min_words) & ((n_lines > 1) | (F.col("words") >= long_line)))
+        cut.select("id", F.xxhash64(text_of(F.col("t"))).alias("version"), F.posexplode_outer(chunks).alias("at", "chunk"))
+        # A single line has one blank in front.
+        .where((F.length(chunk) >= min_chars) & (several | (blanks(chunk) > long_line)))
         .select("id", "version", "at", F.xxhash64("chunk").alias("hash"), "chunk")
     )
     place = F.struct(F.isnull("id").alias("no_id"), "id", "version", "at")
@@ -80,24 +91,24 @@ def remove_repeats(
     )
     gone = keep(gone, "removed-chunks").select(F.col("id").alias("_gid"), F.col("version").alias("_gversion"), F.col("gone").alias("_gone"))
 
-    whole, chunks = with_chunks(docs, text, divisor, long_line)
-    removed, rest, drop = fresh(whole, "removed", "_rest", "_drop")
-    joined = whole.join(
-        gone, whole[doc_id].eqNullSafe(gone["_gid"]) & (F.xxhash64(text_of(whole[text])) == gone["_gversion"]), "left"
-    ).select(*(whole[c] for c in whole.columns), F.coalesce(gone["_gone"], F.array().cast("array<int>")).alias(drop))
-    every = F.sequence(F.lit(0), F.size(chunks) - 1)
+    drop, removed, rest = fresh(docs, "_drop", "removed", "_rest")
+    joined = docs.join(
+        gone, docs[doc_id].eqNullSafe(gone["_gid"]) & (F.xxhash64(text_of(docs[text])) == gone["_gversion"]), "left"
+    ).select(*(docs[c] for c in docs.columns), F.coalesce(gone["_gone"], F.array().cast("array<int>")).alias(drop))
+    joined, chunks = with_chunks(joined, text, divisor, long_line)
+    count_lines = F.transform(
+        F.filter(chunks, lambda c, k: F.array_contains(drop, k)), lambda c: F.size(F.split(c, "\n"))
+    )
     joined = joined.withColumn(
-        rest, F.array_join(F.transform(F.array_except(every, drop), lambda i: F.get(chunks, i)), "\n")
+        rest, F.array_join(F.filter(chunks, lambda c, k: ~F.array_contains(drop, k)), "\n")
     ).withColumn(
         removed,
         F.struct(
             F.size(chunks).cast("long").alias("n_chunks"),
             F.size(drop).cast("long").alias("n_removed_chunks"),
-            F.coalesce(
-                F.aggregate(drop, F.lit(0), lambda n, i: n + F.size(F.split(F.get(chunks, i), "\n"))), F.lit(0)
-            ).cast("long").alias("n_removed_lines"),
+            F.aggregate(count_lines, F.lit(0), lambda n, k: n + k).cast("long").alias("n_removed_lines"),
         ),
-    )
+    )
     # The blank goes from every line start, and from nowhere else.
     clean = F.when(F.size(drop) == 0, joined[text]).otherwise(F.regexp_replace(rest, r"(^|\n) ", "$1"))
     return joined.select(*((clean.alias(text) if c == text else joined[c]) for c in docs.columns), removed), removed
@@ -106,7 +117,7 @@ def remove_repeats(
 def drop_repeated_passages(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Cleaned documents; those of which no word is left go."""
     cleaned, _ = remove_repeats(docs, doc_id, text)
-    return cleaned.where(F.size(words_of(text_of(F.col(text)))) > 0).select(*docs.columns)
+    return cleaned.where(text_of(F.col(text)).rlike(WORD)).select(*docs.columns)
 
 
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -121,16 +132,15 @@ WITH l AS (
   FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS s FROM documents)),
 h AS (
   SELECT *, CAST('0x' || substr(md5(line), 1, 7) AS BIGINT) AS x,
-         len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) >= 50 AS wide FROM l),
+         length(line) - length(replace(line, ' ', '')) >= 49 AS wide FROM l),
 b AS (
   SELECT *, (x * 31 + coalesce(lag(x) OVER w, 0)) % 1000003 % 3 = 0 OR wide OR coalesce(lead(wide) OVER w, false) AS ends
   FROM h WINDOW w AS (PARTITION BY doc_id ORDER BY i)),
 k AS (SELECT *, coalesce(sum(CAST(ends AS INT)) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS pos FROM b),
 c AS (
-  SELECT doc_id, pos, string_agg(line, chr(10) ORDER BY i) AS chunk, count(*) AS n_lines,
-         sum(len(regexp_extract_all(line, '[^\x20\x09-\x0D]+'))) AS words FROM k GROUP BY doc_id, pos),
+  SELECT doc_id, pos, string_agg(line, chr(10) ORDER BY i) AS chunk, count(*) AS n_lines, bool_or(wide) AS wide FROM k GROUP BY doc_id, pos),
 r AS (
-  SELECT *, words >= 10 AND (n_lines > 1 OR words >= 50)
+  SELECT *, length(chunk) + n_lines >= 50 AND (n_lines > 1 OR wide)
             AND row_number() OVER (PARTITION BY chunk ORDER BY doc_id, pos) > 1 AS gone FROM c)
 SELECT doc_id, count(*) AS n_chunks, count(*) FILTER (gone) AS n_removed_chunks,
        CAST(coalesce(sum(n_lines) FILTER (gone), 0) AS BIGINT) AS n_removed_lines,
