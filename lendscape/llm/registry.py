@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
-from lendscape.llm import line_chunks, quality_rules, secret_scan, warc
+from lendscape.llm import fingerprints, line_chunks, near_duplicates, quality_rules, secret_scan, token_counts, warc
 
 QUERIES = {
+    "op1_near_duplicates": near_duplicates.op1_near_duplicates,
     "op3_line_dedup": line_chunks.op3_line_dedup,
     "op4_secret_scan": secret_scan.op4_secret_scan,
     "op7_warc": warc.op7_warc,
+    "op8_fingerprints": fingerprints.op8_fingerprints,
+    "op9_token_counts": token_counts.op9_token_counts,
     "op10_quality_rules": quality_rules.op10_quality_rules,
 }
 ORACLE = {
+    "op1_near_duplicates": near_duplicates.OP1_SQL,
     "op3_line_dedup": line_chunks.OP3_SQL,
     "op4_secret_scan": secret_scan.OP4_SQL,
     "op7_warc": warc.OP7_SQL,
