@@ -11,8 +11,9 @@ on their full shingle sets.
 
 No group is expanded into pairs. Each bucket compares its members with one of
 them, members found alike form components, and only buckets that still hold
-several components go on, first with other members in the middle, at last with
-all pairs between different components, so that no candidate stays untested.
+several components go on, first with other members in the middle. At last what
+is left is joined once more with the whole test as the join's condition, so that
+no candidate stays untested and only links come out.
 
 Defined cases: a NULL or blank text has no shingles and links with nothing;
 texts with the same words are one class; rows that repeat an id are judged by
@@ -43,7 +44,7 @@ BANDS, ROWS = 40, 5
 BASE, RATE, TOP = 1.001, 20.0, 65534
 LIMIT_PCT = 80
 SLACK = 6  # standard errors of the estimate
-HUB_ROUNDS = 3
+HUB_ROUNDS = 2
 SEED = 7
 BLOCK = 512
 
@@ -212,6 +213,35 @@ def _hub_pairs(members: DataFrame, chosen: Column) -> DataFrame:
     return met.select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct()
 
 
+def _rest_links(left: DataFrame, sets: DataFrame, limit_pct: int) -> DataFrame:
+    """Links between different components of the buckets ``left``, each node sent once.
+
+    Buckets that share members form a group; within it, pairs that share a
+    bucket are held against the limit inside the join. Sets travel as their
+    difference from the set of the group's first node, which is short where all
+    are nearly alike: |x ^ y| = |dx| + |dy| - 2 |dx & dy|.
+    """
+    low = left.groupBy("key").agg(F.min("node").alias("b"))
+    groups = components(left.join(low, "key").select(F.col("node").alias("a"), "b")).withColumnRenamed("component", "group")
+    nodes = left.groupBy("node").agg(F.collect_set("key").alias("keys"), F.first("component").alias("component"))
+    centre = sets.select(F.col("node").alias("group"), F.col("members").alias("centre"))
+    full = nodes.join(groups, "node").join(sets, "node").join(centre, "group")
+    apart = F.concat(F.array_except("members", "centre"), F.array_except("centre", "members"))
+    full = keep(full.select("group", "node", "component", "keys", F.size("members").alias("n"), apart.alias("apart")), "rest")
+    a, b = (full.select(*(F.col(c).alias(f"{c}_{x}") for c in full.columns)) for x in "ab")
+    most = (100 - limit_pct) * (F.col("n_a") + F.col("n_b"))  # of the symmetric difference, times 100 + limit
+    da, db = F.size("apart_a"), F.size("apart_b")
+    linked = (
+        (F.col("node_a") < F.col("node_b"))
+        & (F.col("component_a") != F.col("component_b"))
+        & ((100 + limit_pct) * F.abs(da - db) <= most)
+        & F.arrays_overlap("keys_a", "keys_b")
+        & ((100 + limit_pct) * (da + db - 2 * F.size(F.array_intersect("apart_a", "apart_b"))) <= most)
+    )
+    met = a.join(b, (F.col("group_a") == F.col("group_b")) & linked)
+    return met.select(F.col("node_a").alias("a"), F.col("node_b").alias("b"))
+
+
 def near_duplicates(docs: DataFrame, width: int = 5, limit_pct: int = LIMIT_PCT, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``doc_id, n_shingles, component_id, kept`` per row of ``docs``."""
     own = docs.select(F.col(doc_id).cast("long").alias("doc_id"), text_of(F.col(text)).alias("text"))
@@ -236,21 +266,21 @@ def near_duplicates(docs: DataFrame, width: int = 5, limit_pct: int = LIMIT_PCT,
         if turn < HUB_ROUNDS:
             order = F.struct(F.xxhash64("node", F.lit(turn)).alias("o"), "node", "component") if turn else F.struct("node", "component")
             pairs = _hub_pairs(left, F.min(order))
+            if tested is not None:
+                pairs = pairs.join(tested, ["a", "b"], "left_anti")
+            tested = keep(pairs, "candidates")
+            found = _verified(keep(_plausible(tested, part, limit), "plausible"), sets, limit_pct)
         else:
-            other = left.select("key", F.col("node").alias("b"), F.col("component").alias("cb"))
-            pairs = left.withColumnRenamed("node", "a").join(other, "key").where("component <> cb and a < b").select("a", "b").distinct()
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = keep(pairs, "candidates")
-        tested = pairs if tested is None else tested.union(pairs)
-        found = keep(_verified(keep(_plausible(pairs, part, limit), "plausible"), sets, limit_pct), "links")
+            found = _rest_links(left, sets, limit_pct)
+        found = keep(found, "links")
         links = found if links is None else links.union(found)
         labels = keep(components(links), "labels")
+        if turn == HUB_ROUNDS:
+            break
         named = left.drop("component").join(labels, "node", "left").select("key", "node", F.coalesce("component", "node").alias("component"))
-        named = keep(named, "named")
         mixed = named.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x < y").select("key")
         left = keep(named.join(mixed, "key"), "mixed")
-        if turn == HUB_ROUNDS or left.isEmpty():
+        if left.isEmpty():
             break
 
     names = nodes.select("digest", "node").join(labels, "node", "left").select("digest", F.coalesce("component", "node").alias("component_id"))
