@@ -2,12 +2,26 @@
 
 from __future__ import annotations
 
-from lendscape.llm import fingerprints, line_chunks, near_duplicates, quality_rules, secret_scan, token_counts, warc
+from lendscape.llm import (
+    fingerprints,
+    licences,
+    line_chunks,
+    mixture,
+    near_duplicates,
+    packing,
+    quality_rules,
+    secret_scan,
+    token_counts,
+    warc,
+)
 
 QUERIES = {
     "op1_near_duplicates": near_duplicates.op1_near_duplicates,
+    "op2_mixture": mixture.op2_mixture,
     "op3_line_dedup": line_chunks.op3_line_dedup,
     "op4_secret_scan": secret_scan.op4_secret_scan,
+    "op5_licences": licences.op5_licences,
+    "op6_packing": packing.op6_packing,
     "op7_warc": warc.op7_warc,
     "op8_fingerprints": fingerprints.op8_fingerprints,
     "op9_token_counts": token_counts.op9_token_counts,
@@ -15,6 +29,7 @@ QUERIES = {
 }
 ORACLE = {
     "op1_near_duplicates": near_duplicates.OP1_SQL,
+    "op2_mixture": mixture.OP2_SQL,
     "op3_line_dedup": line_chunks.OP3_SQL,
     "op4_secret_scan": secret_scan.OP4_SQL,
     "op7_warc": warc.OP7_SQL,
