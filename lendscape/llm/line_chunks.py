@@ -80,7 +80,8 @@ def remove_repeats(
     place = F.struct(F.isnull("id").alias("no_id"), "id", "version", "at")
     repeated = pieces.groupBy("hash").agg(F.min(place).alias("low"), F.max(place).alias("high"))
     repeated = keep(repeated.where(F.col("low") != F.col("high")).select("hash"), "repeated-hashes")
-    texts = keep(pieces.join(repeated, "hash", "left_semi"), "repeated-chunks")
+    # How much repeats has no bound: these joins never broadcast.
+    texts = keep(pieces.join(repeated.hint("merge"), "hash", "left_semi"), "repeated-chunks")
     first = texts.groupBy("hash", "chunk").agg(F.min(place).alias("first"), F.max(place).alias("last"))
     first = first.where(F.col("first") != F.col("last")).select(F.col("hash").alias("h"), F.col("chunk").alias("c"), "first")
     gone = (
@@ -89,7 +90,7 @@ def remove_repeats(
         .groupBy("id", "version")
         .agg(F.collect_set("at").alias("gone"))
     )
-    gone = keep(gone, "removed-chunks").select(F.col("id").alias("_gid"), F.col("version").alias("_gversion"), F.col("gone").alias("_gone"))
+    gone = keep(gone, "removed-chunks").select(F.col("id").alias("_gid"), F.col("version").alias("_gversion"), F.col("gone").alias("_gone")).hint("merge")
 
     drop, removed, rest = fresh(docs, "_drop", "removed", "_rest")
     joined = docs.join(
