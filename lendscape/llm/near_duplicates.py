@@ -193,14 +193,14 @@ def _plausible(pairs: DataFrame, sketches: DataFrame, limit: float) -> DataFrame
     b = sketches.select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col("registers").alias("rb"))
     least = limit - SLACK * math.sqrt(limit * (1 - limit) / (BANDS * ROWS))
     # Sets whose sizes differ too much can't be alike.
-    sized = pairs.join(a, "a").join(b, "b").where(F.least("na", "nb") >= (limit - 1e-9) * F.greatest("na", "nb"))
+    sized = pairs.join(a.hint("merge"), "a").join(b.hint("merge"), "b").where(F.least("na", "nb") >= (limit - 1e-9) * F.greatest("na", "nb"))
     return sized.where(_likely("na", "ra", "nb", "rb") >= least).select("a", "b")
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, limit_pct: int) -> DataFrame:
     a = sets.select(F.col("node").alias("a"), F.col("members").alias("ma"))
     b = sets.select(F.col("node").alias("b"), F.col("members").alias("mb"))
-    both = pairs.join(a, "a").join(b, "b").withColumn("common", F.size(F.array_intersect("ma", "mb")).cast("long"))
+    both = pairs.join(a.hint("merge"), "a").join(b.hint("merge"), "b").withColumn("common", F.size(F.array_intersect("ma", "mb")).cast("long"))
     union = F.size("ma") + F.size("mb") - F.col("common")
     return both.where(100 * F.col("common") >= limit_pct * union).select("a", "b")
 
@@ -252,10 +252,10 @@ def near_duplicates(docs: DataFrame, width: int = 5, limit_pct: int = LIMIT_PCT,
     nodes = keep(nodes.select(F.col("x.doc_id").alias("node"), "digest", F.col("x.n").alias("n"), F.col("x.registers").alias("registers")), "classes")
     spread = nodes.select("node", F.explode(band_keys(F.col("registers"))).alias("key"))
     buckets = spread.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low < high")
-    members = keep(spread.join(buckets.select("key"), "key").withColumn("component", F.col("node")), "members")
+    members = keep(spread.join(buckets.select("key").hint("merge"), "key").withColumn("component", F.col("node")), "members")
     involved = keep(members.select("node").distinct(), "involved")
-    part = nodes.join(involved, "node")
-    part = keep(part, "involved-sketches")
+    # How many are involved has no bound: these joins never broadcast.
+    part = keep(nodes.join(involved.hint("merge"), "node"), "involved-sketches")
     texts = own.join(involved.hint("shuffle_hash"), own["doc_id"] == involved["node"], "left_semi")
     sets = shingle_sets(texts, width).join(part.select(F.col("node").alias("doc_id"), "digest"), ["doc_id", "digest"])
     sets = keep(sets.dropDuplicates(["doc_id"]).select(F.col("doc_id").alias("node"), "members"), "sets")
@@ -284,7 +284,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, limit_pct: int = LIMIT_PCT,
             break
 
     names = nodes.select("digest", "node").join(labels, "node", "left").select("digest", F.coalesce("component", "node").alias("component_id"))
-    joined = rows.join(names, "digest", "left")
+    joined = rows.select("doc_id", "digest", "n").join(names.hint("merge"), "digest", "left")
     component = F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("component_id"))
     return joined.select(
         "doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(False)).alias("kept")
