@@ -134,7 +134,7 @@ def _blocks(ids: DataFrame, column: str, blocks: int) -> list[float]:
     wanted = [i / blocks for i in range(1, blocks)]
     cuts = ids.agg(F.percentile_approx(column, wanted or [0.5])).first()[0] or []
     # Bucketizer compares as doubles; any monotone cut keeps neighbours together.
-    return [-float("inf"), *sorted({float(c) for c in cuts}), float("inf")]
+    return [-float("inf"), *(sorted({float(c) for c in cuts}) or [0.0]), float("inf")]
 
 
 def fingerprint_neighbours(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
