@@ -139,7 +139,10 @@ def train(docs: DataFrame, text: str = "text", notices=NOTICES, negatives: int =
     """Fit on notice variants and at most ``negatives`` corpus paragraphs; every fourth row calibrates."""
     spark = docs.sparkSession
     lines = docs.select(F.explode_outer(F.split(text_of(F.col(text)), "\n")).alias("line"))
-    sample = lines.where(F.col("line").rlike(WORD) & (F.length("line") <= LONGEST)).select(F.xxhash64("line").alias("h"), "line").distinct()
+    hashed = lines.where(F.col("line").rlike(WORD) & (F.length("line") <= LONGEST)).select(F.xxhash64("line").alias("h"), "line")
+    # Only hashes are shuffled; as many as ``negatives`` of them at most come back to the lines.
+    chosen = hashed.select("h").distinct().orderBy("h").limit(negatives)
+    sample = hashed.join(F.broadcast(chosen), "h", "left_semi").distinct()
     found = [r["line"] for r in sample.orderBy("h", "line").limit(negatives).collect()]
     known = [set(bigrams(t)) for texts in notices.values() for t in texts]
     plain = [t for t in found if matching_notice(set(bigrams(t)), known) < COVERAGE / 2]
