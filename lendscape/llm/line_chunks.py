@@ -42,10 +42,13 @@ def with_chunks(docs: DataFrame, text: str, divisor: int = DIVISOR, long_line: i
     With the blank, two line feeds in a row can only be a chunk's end: one join
     and one split cut a text of any length in linear time.
     """
-    lines, chunks = fresh(docs, "_lines", "chunks")
+    lines, hash_, long_, chunks = fresh(docs, "_lines", "_hash", "_long", "chunks")
     step = docs.withColumn(lines, F.split(text_of(docs[text]), "\n"))
     hashes = F.transform(lines, lambda x: F.conv(F.substring(F.md5(x.cast("binary")), 1, 7), 16, 10).cast("long"))
     long = F.transform(lines, lambda x: blanks(x) >= long_line)
+    # Both are used twice: as columns they are computed once.
+    step = step.withColumns({hash_: hashes, long_: long})
+    hashes, long = F.col(hash_), F.col(long_)
     # Neighbours are zipped in, not looked up: the optimizer may inline these
     # arrays, and a lookup of an inlined array would compute it for every line.
     before = F.slice(F.concat(F.array(F.lit(0).cast("long")), hashes), F.lit(1), F.size(lines))
