@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, FloatType, IntegerType
+from pyspark.sql.types import DoubleType, FloatType, IntegerType, NumericType
 
 from .. import fixed_values as V
 from ..schema import CORRUPT_COLUMN
@@ -93,12 +93,12 @@ def critical_nulls(df: DataFrame, features: Sequence[str] = V.CRITICAL_FEATURES)
     return _counts_as_rows(df, {f: F.col(f).isNull() for f in features}, "feature", "null_count")
 
 
-def invalid_numbers(df: DataFrame, first: int | None = 10, infinite: bool = False) -> DataFrame:
-    """NULL-or-NaN count over the first numeric columns in schema order.
+def invalid_numbers(df: DataFrame, first: int | None = None, infinite: bool = False) -> DataFrame:
+    """NULL-or-NaN count of every numeric column.
 
-    ``first=None`` looks at all of them; ``infinite`` also counts infinities.
+    ``first`` keeps only that many in schema order; ``infinite`` also counts infinities.
     """
-    fields = [f for f in df.schema.fields if isinstance(f.dataType, (IntegerType, DoubleType))][:first]
+    fields = [f for f in df.schema.fields if isinstance(f.dataType, NumericType)][:first]
     conditions = {}
     for field in fields:
         value = F.col(field.name)

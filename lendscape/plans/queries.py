@@ -353,7 +353,7 @@ def q11_critical_nulls(spark, sf):
 @query
 def q12_invalid_numbers(spark, sf):
     df = dirty_loans(loans(spark, sf)).transform(features.engineer_row_features, AS_OF)
-    return quality.invalid_numbers(df, infinite=True)
+    return quality.invalid_numbers(df, first=10, infinite=True)
 
 
 @query
