@@ -20,7 +20,7 @@ from .evaluation import auc_roc, binary_metrics, risk_rating
 
 FEATURES_COLUMN = "_features"
 WORK_PREFIX = "_f_"
-MAX_BINS = 64  # at least the largest number of categories of one feature
+BINS = 64  # split candidates of a number; a category with more values raises it
 
 
 def preparation_stages(
@@ -75,7 +75,8 @@ def train_default_model(
         maxDepth=depth,
         stepSize=V.LEARNING_RATE,
         maxIter=rounds,
-        maxBins=MAX_BINS,
+        # unseen values may take a code of their own
+        maxBins=max([BINS, *(len(labels) + 1 for labels in prepared.stages[1].labelsArray)]),
         seed=V.SPLIT_SEED,
         maxMemoryInMB=512,
         checkpointInterval=10,

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, FloatType, IntegerType, NumericType
+from pyspark.sql.types import DoubleType, FloatType, NumericType
 
 from .. import fixed_values as V
 from ..schema import CORRUPT_COLUMN
@@ -114,7 +114,7 @@ def invalid_numbers(df: DataFrame, first: int | None = None, infinite: bool = Fa
 def validate_features(df: DataFrame) -> DataFrame:
     """Critical NULLs and invalid numbers as one report, from a single pass."""
     critical = {f"null:{f}": F.col(f).isNull() for f in V.CRITICAL_FEATURES}
-    fields = [f for f in df.schema.fields if isinstance(f.dataType, (IntegerType, DoubleType))][:10]
+    fields = [f for f in df.schema.fields if isinstance(f.dataType, NumericType)]
     numeric = {
         f"invalid:{f.name}": (F.col(f.name).isNull() | F.isnan(F.col(f.name).cast("double"))) for f in fields
     }

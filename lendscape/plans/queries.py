@@ -748,6 +748,14 @@ def loan_stream(spark, sf) -> DataFrame:
     return loans_from(orders, table(spark, sf, "customer"), table(spark, sf, "nation"))
 
 
+def loans_in_pieces(spark, sf) -> DataFrame:
+    """The loans in four files of any dates, one per micro-batch."""
+    folder = new_path(spark, "arrivals")
+    table(spark, sf, "orders").repartition(4, "o_orderkey").write.parquet(folder)
+    orders = stream_ingest.stream_parquet(spark, folder, files_per_batch=1)
+    return loans_from(orders, table(spark, sf, "customer"), table(spark, sf, "nation"))
+
+
 @query
 def st1_stream_ingest(spark, sf):
     """Arriving loans are merged into bronze, then sent again under a new checkpoint."""
@@ -788,11 +796,8 @@ def st3_stream_scoring(spark, sf):
 def st4_windowed_metrics(spark, sf):
     """Loans per 30-day window and purpose; the newest windows are still open."""
     out = new_path(spark, "windows")
-    timed = stream_metrics.with_event_time(loan_stream(spark, sf))
-    stream_metrics.to_files(
-        stream_metrics.windowed_metrics(timed), out, new_path(spark, "progress")
-    ).awaitTermination()
-    closed = spark.read.parquet(out)
+    stream_metrics.collect_windows(loans_in_pieces(spark, sf), out, new_path(spark, "progress")).awaitTermination()
+    closed = stream_metrics.read_windows(spark, out, closed_after="30 days")
     return closed.select(
         c("start").cast("date").alias("window_start"),
         c("end").cast("date").alias("window_end"),
@@ -807,9 +812,9 @@ def st4_windowed_metrics(spark, sf):
 def st5_stream_dedupe(spark, sf):
     """Every loan arrives twice and is kept once."""
     out = new_path(spark, "deduplicated")
-    once = files.with_audit(loan_stream(spark, sf), LOAN_COLUMNS, origin="derived")
-    again = files.with_audit(loan_stream(spark, sf), LOAN_COLUMNS, origin="derived")
-    timed = stream_metrics.with_event_time(once.unionByName(again))
+    once = files.with_audit(loans_in_pieces(spark, sf), LOAN_COLUMNS, origin="derived")
+    again = files.with_audit(loans_in_pieces(spark, sf), LOAN_COLUMNS, origin="derived")
+    timed = stream_metrics.with_arrival_time(once.unionByName(again))
     stream_metrics.to_files(stream_metrics.drop_resent(timed), out, new_path(spark, "progress")).awaitTermination()
     return spark.read.parquet(out).select("loan_id", "record_hash", "application_date")
 

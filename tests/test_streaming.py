@@ -74,12 +74,27 @@ def test_late_rows_are_dropped_and_closed_windows_equal_batch(spark, book, arriv
     assert sorted(map(str, got.select(*names).collect())) == sorted(map(str, closed.select(*names).collect()))
 
 
+def test_windows_lose_no_late_row(spark, book, folder):
+    """Newest dates first, one file per micro-batch."""
+    for number, part in enumerate(["2100-01-01", "1996-01-01", "1994-06-01", "1993-01-01"]):
+        low = ["1996-01-01", "1994-06-01", "1993-01-01", "1900-01-01"][number]
+        rows = book.where((F.col("application_date") >= low) & (F.col("application_date") < part))
+        rows.coalesce(1).write.mode("append").parquet(f"{folder}/in")
+    metrics.collect_windows(one_by_one(spark, f"{folder}/in"), f"{folder}/out", f"{folder}/progress").awaitTermination()
+    got = metrics.read_windows(spark, f"{folder}/out")
+    batch = metrics.windowed_metrics(book.withColumn("event_time", F.col("application_date").cast("timestamp")))
+    names = ["start", "end", "loan_purpose", "loans", "amount", F.round("default_rate", 9)]
+    assert sorted(map(str, got.select(*names).collect())) == sorted(map(str, batch.select(*names).collect()))
+    assert got.agg(F.sum("loans")).first()[0] == book.count()
+
+
 @pytest.mark.parametrize("spread", [1, 16])
 def test_resent_records_are_dropped(spark, book, folder, spread):
-    book.repartition(4).write.parquet(f"{folder}/in")
+    book.orderBy(F.desc("application_date")).coalesce(1).write.parquet(f"{folder}/in")
+    book.repartition(4).write.mode("append").parquet(f"{folder}/in")
     book.unionByName(book).repartition(3).write.mode("append").parquet(f"{folder}/in")
     stream = files.with_audit(one_by_one(spark, f"{folder}/in"), LOAN_COLUMNS)
-    timed = metrics.with_event_time(stream, delay="4000 days")
+    timed = metrics.with_arrival_time(stream)
     out = metrics.drop_resent(timed, spread=spread)
     metrics.to_files(out, f"{folder}/out", f"{folder}/progress").awaitTermination()
     got = spark.read.parquet(f"{folder}/out")
