@@ -81,10 +81,11 @@ def score_histogram(df: DataFrame, bins: int = V.SCORE_BINS) -> DataFrame:
 
 def _by_month(df: DataFrame, date: str, **figures) -> DataFrame:
     """Aggregates per month-end between the first and last month, empty months included."""
-    months = (
+    months = keep(
         df.where(F.col(date).isNotNull())
         .groupBy(F.last_day(date).alias("month_end"))
-        .agg(*[figure.alias(name) for name, figure in figures.items()])
+        .agg(*[figure.alias(name) for name, figure in figures.items()]),
+        "months",
     )
     span = months.agg(
         F.sequence(

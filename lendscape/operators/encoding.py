@@ -12,7 +12,7 @@ from ..functions.keys import unit_hash
 from ..session import keep
 from .group_means import join_lookup
 from .portfolio import medians
-from .ranks import positions, running_totals
+from .ranks import positions
 from .selection import existing_columns
 
 FEATURE_SETS = {
@@ -21,6 +21,7 @@ FEATURE_SETS = {
     "smoke": (V.SMOKE_NUMERIC, V.SMOKE_CATEGORICAL),
 }
 MISSING_CATEGORY = "None"
+HALF = 2.0**14  # the hash has 28 bits: two counting passes of 14 find a value
 
 
 def feature_lists(name: str = "recorded", leak_free: bool = False) -> tuple[list[str], list[str]]:
@@ -72,10 +73,35 @@ def impute(df: DataFrame, fitted: dict[str, float]) -> DataFrame:
 
 
 def hash_split(
-    df: DataFrame, key: Sequence[str] = ("loan_id",), share: float = V.TEST_SHARE, seed: int = V.SPLIT_SEED
+    df: DataFrame,
+    key: Sequence[str] = ("loan_id",),
+    share: float = V.TEST_SHARE,
+    seed: int = V.SPLIT_SEED,
+    name: str = "is_test",
 ) -> DataFrame:
-    """Add ``is_test`` by a hash of the key: no shuffle, ``share`` of each class up to chance."""
-    return df.withColumn("is_test", unit_hash(key, seed) < F.lit(share))
+    """Add ``name`` by a hash of the key: no shuffle, ``share`` of each class up to chance."""
+    return df.withColumn(name, unit_hash(key, seed) < F.lit(share))
+
+
+def _counts_in_order(counts: DataFrame, groups: Sequence[str], by: str) -> DataFrame:
+    """``groups, cells``: the counts of a group as an array in the order of ``by``."""
+    cells = F.sort_array(F.collect_list(F.struct(F.col(by).cast("long").alias("at"), "n")))
+    return counts.groupBy(*groups).agg(cells.alias("cells"))
+
+
+def _where_reached(before: Column) -> Column:
+    """Struct of the first cell at which ``before`` and the counts so far reach ``_wanted``, and the total ahead of it."""
+
+    def step(state: Column, cell: Column) -> Column:
+        found = state["at"].isNotNull()
+        reached = state["before"] + cell["n"] >= F.col("_wanted")
+        return F.struct(
+            F.when(found | reached, state["before"]).otherwise(state["before"] + cell["n"]).alias("before"),
+            F.when(found, state["at"]).when(reached, cell["at"]).alias("at"),
+        )
+
+    start = F.struct(before.alias("before"), F.lit(None).cast("long").alias("at"))
+    return F.aggregate("cells", start, step)
 
 
 def stratified_split(
@@ -87,20 +113,29 @@ def stratified_split(
 ) -> DataFrame:
     """Add ``is_test`` so that ``share`` of every class, to the row, is test data.
 
-    Each class is cut at the hash value of its last test row. The cut is found
-    on counted hash values, so rows are neither ranked nor moved; rows that
-    share the cut's hash value stay together. A row without a label is neither
-    training nor test data: its ``is_test`` is NULL.
+    Each class is cut at the hash value of its last test row. One pass counts
+    rows by the upper half of the hash, a second one by the lower half where
+    the cut lies: at most 2**14 counts per class, and rows are neither ranked
+    nor moved. Rows that share the cut's hash value stay together. A row
+    without a label is neither training nor test data: its ``is_test`` is NULL.
     """
-    hashed = df.where(F.col(label).isNotNull()).select(label, unit_hash(key, seed).alias("u"))
-    counts = hashed.groupBy(label, "u").agg(F.count(F.lit(1)).alias("n"))
-    ranked = running_totals(counts, [F.col("u")], ["n"], [label])
-    cuts = keep(
-        ranked.where(F.col("cum_n") >= F.round(F.col("all_n") * F.lit(share)))
-        .groupBy(label)
-        .agg(F.min("u").alias("_cut")),
-        "split-cuts",
+    number = unit_hash(key, seed) * F.lit(HALF * HALF)
+    hashed = df.where(F.col(label).isNotNull()).select(
+        F.col(label).alias("_label"), F.floor(number / F.lit(HALF)).alias("_upper"), (number % F.lit(HALF)).cast("long").alias("_lower")
+    )
+    totals = _counts_in_order(hashed.groupBy("_label", "_upper").agg(F.count(F.lit(1)).alias("n")), ["_label"], "_upper")
+    wanted = F.round(F.aggregate("cells", F.lit(0).cast("long"), lambda n, x: n + x["n"]) * F.lit(share)).cast("long")
+    upper = keep(
+        totals.withColumn("_wanted", wanted)
+        .withColumn("_at", _where_reached(F.lit(0).cast("long")))
+        .select("_label", "_wanted", F.col("_at.at").alias("_upper"), F.col("_at.before").alias("_before")),
+        "split-upper",
     )
+    inside = hashed.join(upper, ["_label", "_upper"])
+    groups = ["_label", "_upper", "_wanted", "_before"]
+    lower = _counts_in_order(inside.groupBy(*groups, "_lower").agg(F.count(F.lit(1)).alias("n")), groups, "_lower")
+    cut = (F.col("_upper") * F.lit(HALF) + _where_reached(F.col("_before"))["at"]) / F.lit(HALF * HALF)
+    cuts = keep(lower.select(F.col("_label").alias(label), cut.alias("_cut")), "split-cuts")
     return join_lookup(df, cuts, label).withColumn("is_test", unit_hash(key, seed) <= F.col("_cut")).drop("_cut")
 
 

@@ -15,11 +15,12 @@ from pyspark.sql import functions as F
 
 from .. import fixed_values as V
 from ..session import shared_folder
-from .encoding import MISSING_CATEGORY, class_weights, feature_lists
+from .encoding import MISSING_CATEGORY, class_weights, feature_lists, hash_split
 from .evaluation import auc_roc, binary_metrics, risk_rating
 
 FEATURES_COLUMN = "_features"
 WORK_PREFIX = "_f_"
+VALIDATION_SHARE = 0.1  # of the training rows
 BINS = 64  # split candidates of a number; a category with more values raises it
 
 
@@ -52,25 +53,26 @@ def train_default_model(
     depth: int = V.TREE_DEPTH,
     unseen: str = "error",
 ) -> PipelineModel:
-    """Fit on the rows with ``is_test`` false; those with it true decide when to stop.
+    """Fit on the rows with ``is_test`` false; boosting ends where a slice of them gains nothing more.
 
-    Preparation is fitted on training rows alone. Both classes weigh the same.
+    No step sees a test row. Preparation is fitted on all training rows. Both
+    classes weigh the same.
     """
     shared_folder(df.sparkSession)  # boosting cuts its lineage there every few rounds
     numeric, categorical = feature_lists(features, leak_free)
-    train = df.where(~F.col("is_test"))
+    train = hash_split(df.where(~F.col("is_test")), share=VALIDATION_SHARE, seed=V.SPLIT_SEED + 1, name="is_validation")
     prepared = Pipeline(stages=preparation_stages(numeric, categorical, unseen)).fit(train)
     ratio = class_weights(train).where(F.col(V.TARGET) == 1).select("weight").first()
     weight = F.when(F.col(V.TARGET) == 1, F.lit(ratio[0] if ratio else 1.0)).otherwise(F.lit(1.0))
-    matrix = prepared.transform(df.withColumn("weight", weight)).select(
-        V.TARGET, "weight", "is_test", FEATURES_COLUMN
+    matrix = prepared.transform(train.withColumn("weight", weight)).select(
+        V.TARGET, "weight", "is_validation", FEATURES_COLUMN
     )
     booster = GBTClassifier(
         labelCol=V.TARGET,
         featuresCol=FEATURES_COLUMN,
         predictionCol="_prediction",
         weightCol="weight",
-        validationIndicatorCol="is_test",
+        validationIndicatorCol="is_validation",
         validationTol=V.PATIENCE_TOL,
         maxDepth=depth,
         stepSize=V.LEARNING_RATE,

@@ -94,8 +94,13 @@ def segment_profile(df: DataFrame, *keys: str) -> DataFrame:
     )
 
 
-def combine_profiles(base: DataFrame, *others: DataFrame, key: str = "loan_id") -> DataFrame:
-    """Put column groups of the same loans side by side, matched on the loan key."""
+def combine_profiles(base: DataFrame, *others: DataFrame, keys: Sequence[str] = ("loan_id",)) -> DataFrame:
+    """Put column groups of the same loans side by side, matched on ``keys``.
+
+    Where loans have several versions, the keys must tell these apart
+    (``loan_id, record_hash``). Every key meets one row of each other group, so
+    repeated rows never multiply; a NULL key meets nothing.
+    """
     for other in others:
-        base = base.join(other, key)
+        base = base.join(other.dropDuplicates(list(keys)), list(keys))
     return base

@@ -5,6 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .. import fixed_values as V
 from ..operators.quality import quality_passed, run_quality_checks, split_quarantine
@@ -19,6 +20,7 @@ class IngestResult:
     passed: bool
     written: str | None
     report: DataFrame
+    malformed: int
 
 
 def ingest(
@@ -35,12 +37,15 @@ def ingest(
 
     ``gate``: ``stop`` writes nothing when a check fails, ``warn`` writes
     anyway, ``quarantine`` writes the good rows and sets the others aside.
+    A line that doesn't parse fails the gate too; ``malformed`` is their number.
     """
     if gate == "quarantine" and not quarantine:
         raise ValueError("the quarantine gate needs a quarantine path")
-    df = read_source_data(spark, source)  # its list of files is fixed here, for every pass below
+    # Text is parsed and hashed once; every pass below reads the staged columns it needs.
+    df = keep(read_source_data(spark, source), "batch")
     report = keep(run_quality_checks(df, as_of), "quality-report")
-    passed = quality_passed(report)
+    malformed = df.where(F.col(CORRUPT_COLUMN).isNotNull()).count()
+    passed = quality_passed(report) and malformed == 0
     rows, written = df, None
     if gate == "quarantine":
         rows, rejected = split_quarantine(df, as_of)
@@ -49,4 +54,4 @@ def ingest(
         written = write_to_bronze(rows.drop(CORRUPT_COLUMN), bronze, fmt=fmt)
         if compact:
             compact_partitions(spark, bronze, V.BRONZE_PARTITIONS)
-    return IngestResult(passed, written, report)
+    return IngestResult(passed, written, report, malformed)

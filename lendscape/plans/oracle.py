@@ -378,8 +378,8 @@ ORACLE: dict[str, str] = {
         SELECT city_tier, avg(monthly_income) AS avg_income FROM loans GROUP BY 1)
       SELECT loan_id, city_tier, avg_income FROM loans LEFT JOIN stats USING (city_tier)""",
     "j03_unmatched_rows": f"{_BATCH2} SELECT loan_id, current_dpd FROM fresh",
-    "j04_profiles_side_by_side": f"""{_LOANS} SELECT loan_id, customer_id, age, monthly_income, credit_score,
-      loan_amount, loan_purpose, emi_amount, current_dpd FROM loans""",
+    "j04_profiles_side_by_side": f"""{_BATCH2} SELECT loan_id, record_hash, customer_id, age, monthly_income, credit_score,
+      loan_amount, loan_purpose, emi_amount, current_dpd FROM (SELECT * FROM hashed UNION ALL SELECT * FROM fresh)""",
     "a01_count_by_status": f"{_LOANS} {_count_by('loans', 'loan_status')}",
     "a02_count_by_risk": f"{_LOANS} {_count_by('loans', 'risk_category')}",
     "a03_count_by_score_bucket": f"{_FEAT} {_count_by('feat', 'credit_score_bucket')}",

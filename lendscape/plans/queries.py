@@ -461,12 +461,15 @@ def j03_unmatched_rows(spark, sf):
 
 @query
 def j04_profiles_side_by_side(spark, sf):
-    df = loans(spark, sf)
+    """On bronze, where loans have several versions."""
+    df = merged_bronze(spark, sf)
+    keys = versions.MERGE_KEYS
     return portfolio.combine_profiles(
-        df.select("loan_id", "customer_id", "age"),
-        df.select("loan_id", "monthly_income", "credit_score"),
-        df.select("loan_id", "loan_amount", "loan_purpose"),
-        df.select("loan_id", "emi_amount", "current_dpd"),
+        df.select(*keys, "customer_id", "age"),
+        df.select(*keys, "monthly_income", "credit_score"),
+        df.select(*keys, "loan_amount", "loan_purpose"),
+        df.select(*keys, "emi_amount", "current_dpd"),
+        keys=keys,
     )
 
 
@@ -669,7 +672,7 @@ def m06_m16_trained_scores(spark, sf):
     """Trains on the training split, saves, loads, and scores the whole portfolio."""
     data = keep(encoding.stratified_split(featured(spark, sf)), "training-data")
     path = new_path(spark, "model")
-    modelling.save_model(modelling.train_default_model(data, rounds=10, depth=4), path)
+    modelling.save_model(modelling.train_default_model(data), path)
     model = modelling.load_model(path)
     return modelling.score_new_loans(data, model).select(
         "loan_id", "is_default", "is_test", "default_prediction", "default_probability", "risk_rating"
@@ -679,7 +682,7 @@ def m06_m16_trained_scores(spark, sf):
 @query
 def m13_feature_importance(spark, sf):
     data = keep(encoding.stratified_split(featured(spark, sf)), "training-data")
-    model = modelling.train_default_model(data, rounds=5, depth=4)
+    model = modelling.train_default_model(data)
     path = new_path(spark, "importance")
     files.write_parquet(modelling.feature_importance(spark, model), path)
     return modelling.top_features(files.read_parquet(spark, path), 20)
@@ -784,7 +787,7 @@ def st2_stream_silver(spark, sf):
 def st3_stream_scoring(spark, sf):
     """A model trained on the portfolio rates the same loans as they arrive."""
     data = keep(encoding.stratified_split(featured(spark, sf)), "training-data")
-    model = modelling.train_default_model(data, features="smoke", rounds=5, depth=4)
+    model = modelling.train_default_model(data, features="smoke", rounds=V.SMOKE_ROUNDS)
     out = new_path(spark, "rated")
     stream = loan_stream(spark, sf).transform(features.engineer_row_features, AS_OF)
     rated = stream_metrics.score_stream(stream, model)

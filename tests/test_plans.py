@@ -6,7 +6,7 @@ import re
 
 import pytest
 
-from lendscape.operators import dashboard, features, portfolio, selection, versions
+from lendscape.operators import dashboard, encoding, features, portfolio, selection, versions
 from lendscape.plans import silver
 from lendscape.schema import LOAN_COLUMNS
 from lendscape.session import JVM_FLAG, METHOD_LIMIT, tune
@@ -86,3 +86,13 @@ def test_shared_folder_is_required_on_a_cluster():
 
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         shared_folder(Session())
+
+
+def test_split_counts_instead_of_ranking(spark, silver_path):
+    text = plan(encoding.stratified_split(tables.read_table(spark, silver_path)))
+    assert "Window" not in text and "rangepartitioning" not in text
+
+
+def test_months_are_aggregated_once(spark, silver_path):
+    text = plan(dashboard.monthly_volume(tables.read_table(spark, silver_path)))
+    assert "application_date" not in text

@@ -105,3 +105,19 @@ def test_seeded_sample(book):
     ids = {r.loan_id for r in seeded_sample(book, 100, 42).collect()}
     assert len(ids) == 100 and ids == {r.loan_id for r in seeded_sample(book.repartition(5), 100, 42).collect()}
     assert ids != {r.loan_id for r in seeded_sample(book, 100, 7).collect()}
+
+
+def test_stratified_split_cuts_where_ranking_would(book):
+    found = {(r["is_default"], r["loan_id"]): r["is_test"] for r in encoding.stratified_split(book).select("is_default", "loan_id", "is_test").collect()}
+    rows = book.select("is_default", "loan_id", encoding.unit_hash(["loan_id"], 42).alias("u")).collect()
+    for label in (0, 1):
+        own = sorted((r["u"], r["loan_id"]) for r in rows if r["is_default"] == label)
+        cut = own[round(len(own) * 0.2) - 1][0]
+        assert all(found[label, loan] == (u <= cut) for u, loan in own)
+
+
+def test_profiles_of_versions_do_not_multiply(spark):
+    df = spark.createDataFrame([("a", "h1", 1), ("a", "h2", 2), ("a", "h2", 2)], "loan_id string, record_hash string, x int")
+    keys = ("loan_id", "record_hash")
+    both = portfolio.combine_profiles(df.select(*keys), df, keys=keys)
+    assert sorted(tuple(r) for r in both.collect()) == [("a", "h1", 1), ("a", "h2", 2), ("a", "h2", 2)]

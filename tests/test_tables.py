@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+from pathlib import Path
+
 import datetime
 
 import pytest
@@ -36,6 +38,23 @@ def test_malformed_line_is_kept_apart(spark, folder):
     assert sorted(r["_corrupt_record"] for r in bad.collect()) == ["3", "nope,y"]
 
 
+def test_malformed_lines_fail_the_gate(spark, book, folder):
+    files.write_csv(book.coalesce(1), f"{folder}/csv")
+    lines = spark.read.text(f"{folder}/csv").select("value").limit(4).toPandas()["value"].tolist()
+    at = lines[0].split(",").index("age")
+    broken = lines[2].split(",")
+    broken[at] = "unreadable"
+    (Path(folder) / "bad.csv").write_text("\n".join([lines[0], lines[1], ",".join(broken), lines[3]]) + "\n")
+    source = f"{folder}/bad.csv"
+    stopped = bronze.ingest(spark, source, f"{folder}/b1", as_of=AS_OF)
+    assert (stopped.passed, stopped.malformed, stopped.written) == (False, 1, None)
+    warned = bronze.ingest(spark, source, f"{folder}/b2", gate="warn", as_of=AS_OF)
+    assert (warned.passed, warned.malformed, warned.written) == (False, 1, "created")
+    bronze.ingest(spark, source, f"{folder}/b3", gate="quarantine", quarantine=f"{folder}/q3", as_of=AS_OF)
+    assert spark.read.parquet(f"{folder}/b3").count() == 2
+    assert spark.read.parquet(f"{folder}/q3").first()["_corrupt_record"] == ",".join(broken)
+
+
 def test_header_only_file(spark, book, folder):
     files.write_csv(book.limit(0).coalesce(1), f"{folder}/none")
     assert files.read_source_data(spark, f"{folder}/none").count() == 0
