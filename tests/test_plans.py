@@ -51,9 +51,12 @@ def test_row_features_do_not_shuffle(spark, book):
     assert "Exchange" not in plan(features.engineer_row_features(book, AS_OF))
 
 
-def test_latest_version_reduces_before_the_shuffle(spark, silver_path):
+def test_latest_version_sorts_and_shuffles_no_wide_rows(spark, silver_path):
+    """Single versions pass by a broadcast anti join; only copies of a newest version are aggregated."""
     text = plan(versions.latest_version(tables.read_table(spark, silver_path)))
-    assert "partial_max_by" in text and "Window" not in text
+    passed, copies = text.split("SortAggregate", 1)[0], text.split("SortAggregate", 1)[1]
+    assert "BroadcastHashJoin" in passed and "LeftAnti" in passed and "Exchange hashpartitioning" not in passed
+    assert "LeftSemi" in copies and "Window" not in text
 
 
 def test_known_rows_are_not_merged_again(spark, book):

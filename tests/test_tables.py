@@ -97,6 +97,21 @@ def test_two_batches(spark, book, folder):
     assert versions.latest_version(tables.read_bronze(spark, path)).count() == n + n // 50
 
 
+def test_latest_version_ties(spark):
+    """Later time wins, then the higher hash; of exact copies one stays; a NULL time is the oldest."""
+    rows = [
+        ("a", "2001-01-01", "h1", 1), ("a", "2001-01-02", "h0", 2), ("a", "2001-01-02", "h0", 2), ("b", "2001-01-01", "h1", 3),
+        ("b", "2001-01-01", "h2", 4), ("c", None, "h9", 5), ("c", "2001-01-01", "h1", 6), (None, "2001-01-01", "h1", 7),
+        (None, "2001-01-02", "h1", 8), (None, "2001-01-01", "h2", 9), ("d", "2001-01-01", None, 10), ("e", "2001-01-01", "h", 11),
+        ("e", "2001-01-01", "h", 12),
+    ]
+    df = spark.createDataFrame(rows, "loan_id string, t string, record_hash string, x int")
+    df = df.withColumn("ingestion_timestamp", F.to_timestamp("t")).repartition(3)
+    found = sorted(r["x"] for r in versions.latest_version(df).collect())
+    assert found[:-1] == [2, 4, 6, 8, 9, 10] and found[-1] in (11, 12)
+    assert versions.latest_version(df.limit(0)).count() == 0
+
+
 def test_repeated_rows_of_a_batch_stay(spark, book, folder):
     """A batch is not deduplicated; a record that is a third of it included."""
     path = f"{folder}/bronze"
