@@ -8,6 +8,15 @@ several lines (or one such long line) that occur more than once anywhere are
 compared byte by byte; the first occurrence by document id and position stays,
 the others are removed.
 
+With ``runs`` (as in the corpus pipeline) every repeated passage goes, however it
+is cut into chunks: a line also goes if it lies in a run of lines of fifty words or more
+that stands earlier, and a text shorter than that goes if the whole of it stands
+earlier as a text. Two windows per line cover any such run: the shortest ones of
+fifty words that start and that end with the line. Lines without words don't
+count; words are separated by the white space of the contract. Windows are
+compared by two independent hashes, 124 bits together. A window that overlaps
+its own first occurrence stays.
+
 Everything is a DataFrame expression. Hashes travel first; texts of chunks only
 where a hash repeats.
 
@@ -22,7 +31,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lendscape.llm.common import WORD, fresh, table, text_of
+from lendscape.llm.common import WORD, fresh, table, text_of, words_of
 from lendscape.session import keep
 
 # Fixed values
@@ -30,6 +39,8 @@ DIVISOR = 3
 MODULUS, FACTOR = 1_000_003, 31
 LONG_LINE = 49  # blanks: fifty words
 MIN_CHARS = 50
+RUN_WORDS = 50
+LEVELS = 6  # 2**6 - 1 lines of a word each are more than a run holds before its last line
 
 
 def blanks(text: Column) -> Column:
@@ -65,11 +76,107 @@ def with_chunks(docs: DataFrame, text: str, divisor: int = DIVISOR, long_line: i
     return step.select(*(step[c] for c in docs.columns), chunks), chunks
 
 
+def word_count(line: Column) -> Column:
+    """Words of a line; splitting at blanks is cheaper and mostly enough."""
+    return F.size(F.when(line.rlike(r"[\x09-\x0D]"), words_of(line)).otherwise(F.array_remove(F.split(line, " "), "")))
+
+
+def run_windows(own: DataFrame) -> DataFrame:
+    """``id, version, start, n, first, last, a, b`` per window of ``own`` (``id, t``).
+
+    ``start`` and ``n`` count lines with words, ``first`` and ``last`` all lines.
+    Blocks of 1, 2, 4 ... lines by doubling; a window is the sum of at most one
+    block of each size and its last line, so the time is linear in the lines.
+    """
+    text = text_of(F.col("t"))
+    line = F.transform(
+        F.split(text, "\n"),
+        lambda x, i: F.struct(
+            i.alias("at"), F.least(word_count(x), F.lit(RUN_WORDS)).alias("n"), F.xxhash64(x).alias("a"),
+            F.conv(F.substring(F.md5(x.cast("binary")), 1, 15), 16, 10).cast("long").alias("b"),
+        ),
+    )
+    step = own.select("id", F.xxhash64(text).alias("version"), F.filter(line, lambda z: z["n"] > 0).alias("s0"))
+
+    def joined(x: Column, y: Column) -> list[Column]:
+        return [(x["n"] + y["n"]).alias("n"), F.xxhash64(x["a"], y["a"]).alias("a"), F.xxhash64(F.lit(1), x["b"], y["b"]).alias("b")]
+
+    def doubled(k: int):  # noqa: ANN202
+        return lambda x, i: F.struct(i.alias("at"), *joined(x, F.get(f"s{k}", i + (1 << k))))
+
+    for k in range(LEVELS - 1):
+        step = step.withColumn(f"s{k + 1}", F.transform(f"s{k}", doubled(k)))
+
+    def windows(back: bool) -> Column:
+        """Windows by the line they start (or, going back, end) with."""
+
+        def grown(k: int):  # noqa: ANN202
+            size = 1 << k
+
+            def one(x: Column) -> Column:
+                y = F.get(f"s{k}", x["at"] - (size - 1) if back else x["at"])
+                return F.when(x["n"] + y["n"] < RUN_WORDS, F.struct(x["own"].alias("own"), (x["at"] + (-size if back else size)).alias("at"), *joined(x, y))).otherwise(x)
+
+            return one
+
+        state = F.transform(
+            "s0", lambda x, i: F.struct(i.alias("own"), i.alias("at"), F.lit(0).alias("n"), F.lit(int(back)).cast("long").alias("a"), F.lit(0).cast("long").alias("b"))
+        )
+        for k in reversed(range(LEVELS)):
+            state = F.transform(state, grown(k))
+
+        def ended(x: Column) -> Column:
+            y = F.get("s0", x["at"])
+            n, a, b = joined(x, y)
+            start, end = (x["at"], x["own"]) if back else (x["own"], x["at"])
+            return F.struct(
+                start.alias("start"), (end - start + 1).alias("n"), F.get("s0", start)["at"].alias("first"), F.get("s0", end)["at"].alias("last"),
+                a, b, x["n"].alias("before"), y["n"].alias("end"),
+            )
+
+        found = F.filter(F.transform(state, ended), lambda x: x["before"] + x["end"] >= RUN_WORDS)
+        if back:  # a window that is shortest from its start, too, is known already
+            found = F.filter(found, lambda x: x["before"] + x["end"] - F.get("s0", x["start"] + x["n"] - 1)["n"] >= RUN_WORDS)
+        return F.transform(found, lambda x: F.struct(*(x[c].alias(c) for c in ("start", "n", "first", "last", "a", "b"))))
+
+    s0, last = F.col("s0"), F.get("s0", F.size("s0") - 1)["at"]
+    short = F.aggregate(s0, F.lit(0), lambda n, x: F.least(n + x["n"], F.lit(RUN_WORDS))) < RUN_WORDS
+    whole = F.struct(
+        F.lit(0).alias("start"), F.size(s0).alias("n"), F.get("s0", F.lit(0))["at"].alias("first"), last.alias("last"),
+        F.xxhash64(F.transform(s0, lambda x: x["a"])).alias("a"), F.xxhash64(F.transform(s0, lambda x: x["b"])).alias("b"),
+    )
+    spans = F.when((F.size(s0) > 0) & short, F.array(whole)).otherwise(F.concat(windows(False), windows(True)))
+    return step.select("id", "version", F.inline(spans))
+
+
+def repeated_lines(own: DataFrame) -> DataFrame:
+    """``id, version, line``: lines of runs that stand earlier in ``own`` (``id, t``)."""
+    windows = run_windows(own)
+    place = F.struct(F.isnull("id").alias("no_id"), "id", "version", "start")
+    repeated = keep(windows.groupBy("a").count().where("count > 1").select("a"), "repeated-windows")
+    found = keep(windows.join(repeated.hint("merge"), "a", "left_semi"), "repeated-runs")
+    first = found.groupBy("a", "b").agg(F.min(place).alias("low"), F.max(place).alias("high")).where("low != high").drop("high")
+    low = F.col("low")
+    own_first = F.col("id").eqNullSafe(low["id"]) & (F.col("version") == low["version"]) & (F.col("start") < low["start"] + F.col("n"))
+    return found.join(first, ["a", "b"]).where(~own_first).select("id", "version", F.explode(F.sequence("first", "last")).alias("line"))
+
+
+def _marks(lines: Column) -> Column:
+    """An array that is true at the positions ``lines``; built from their gaps, so in linear time."""
+    ordered = F.sort_array(lines)
+    before = F.concat(F.array(F.lit(-1)), F.slice(ordered, F.lit(1), F.greatest(F.size(ordered) - 1, F.lit(0))))
+    gaps = F.zip_with(ordered, before, lambda x, y: F.concat(F.array_repeat(F.lit(False), x - y - 1), F.array(F.lit(True))))
+    return F.when(F.size(lines) > 0, F.flatten(gaps)).otherwise(F.array().cast("array<boolean>"))
+
+
 def remove_repeats(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min_chars: int = MIN_CHARS,
-    divisor: int = DIVISOR, long_line: int = LONG_LINE,
+    divisor: int = DIVISOR, long_line: int = LONG_LINE, runs: bool = False,
 ) -> tuple[DataFrame, str]:
-    """``docs`` with ``text`` replaced, and a struct ``removed`` of counts; and that column's name."""
+    """``docs`` with ``text`` replaced, and a struct ``removed`` of counts; and that column's name.
+
+    ``runs`` removes repeated runs of lines, too.
+    """
     own = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("t"))
     cut, chunks = with_chunks(own, "t", divisor, long_line)
     chunk = F.col("chunk")
@@ -87,19 +194,23 @@ def remove_repeats(
     texts = keep(pieces.join(repeated.hint("merge"), "hash", "left_semi"), "repeated-chunks")
     first = texts.groupBy("hash", "chunk").agg(F.min(place).alias("first"), F.max(place).alias("last"))
     first = first.where(F.col("first") != F.col("last")).select(F.col("hash").alias("h"), F.col("chunk").alias("c"), "first")
-    gone = (
-        texts.join(first, (texts["hash"] == first["h"]) & (texts["chunk"] == first["c"]))
-        .where(place != F.col("first"))
-        .groupBy("id", "version")
-        .agg(F.collect_set("at").alias("gone"))
-    )
-    gone = keep(gone, "removed-chunks").select(F.col("id").alias("_gid"), F.col("version").alias("_gversion"), F.col("gone").alias("_gone")).hint("merge")
+    gone = texts.join(first, (texts["hash"] == first["h"]) & (texts["chunk"] == first["c"])).where(place != F.col("first"))
+    gone = gone.select("id", "version", "at", F.lit(None).cast("int").alias("line"))
+    if runs:
+        gone = gone.unionByName(repeated_lines(own).withColumn("at", F.lit(None).cast("int")))
+    gone = gone.groupBy("id", "version").agg(F.collect_set("at").alias("gone"), F.collect_set("line").alias("lines"))
+    gone = keep(gone, "removed-chunks").select(
+        F.col("id").alias("_gid"), F.col("version").alias("_gversion"), F.col("gone").alias("_gone"), F.col("lines").alias("_glines")
+    ).hint("merge")
 
-    drop, removed, rest = fresh(docs, "_drop", "removed", "_rest")
+    drop, removed, rest, in_runs = fresh(docs, "_drop", "removed", "_rest", "_in_runs")
+    none = F.array().cast("array<int>")
     joined = docs.join(
         gone, docs[doc_id].eqNullSafe(gone["_gid"]) & (F.xxhash64(text_of(docs[text])) == gone["_gversion"]), "left"
-    ).select(*(docs[c] for c in docs.columns), F.coalesce(gone["_gone"], F.array().cast("array<int>")).alias(drop))
+    ).select(*(docs[c] for c in docs.columns), F.coalesce(gone["_gone"], none).alias(drop), F.coalesce(gone["_glines"], none).alias(in_runs))
     joined, chunks = with_chunks(joined, text, divisor, long_line)
+    if runs:
+        return _without_lines(docs, joined, text, chunks, drop, in_runs, removed)
     count_lines = F.transform(
         F.filter(chunks, lambda c, k: F.array_contains(drop, k)), lambda c: F.size(F.split(c, "\n"))
     )
@@ -118,9 +229,26 @@ def remove_repeats(
     return joined.select(*((clean.alias(text) if c == text else joined[c]) for c in docs.columns), removed), removed
 
 
+def _without_lines(docs: DataFrame, joined: DataFrame, text: str, chunks: str, drop: str, in_runs: str, removed: str) -> tuple[DataFrame, str]:
+    """The lines of ``joined`` that are neither in the chunks ``drop`` nor among the lines ``in_runs``."""
+    in_chunks = F.flatten(F.transform(chunks, lambda c, k: F.array_repeat(F.array_contains(drop, k), F.size(F.split(c, "\n")))))
+    # Zipped, not looked up: see with_chunks.
+    zipped = F.arrays_zip(F.split(text_of(joined[text]), "\n").alias("line"), in_chunks.alias("c"), _marks(F.col(in_runs)).alias("r"))
+    left = F.filter(zipped, lambda z: ~F.coalesce(z["c"], F.lit(False)) & ~F.coalesce(z["r"], F.lit(False)))
+    (lines,) = fresh(joined, "_left")
+    joined = joined.withColumn(lines, F.when((F.size(drop) > 0) | (F.size(in_runs) > 0), F.transform(left, lambda z: z["line"])))
+    counts = F.struct(
+        F.size(chunks).cast("long").alias("n_chunks"),
+        F.size(drop).cast("long").alias("n_removed_chunks"),
+        F.coalesce(F.size(F.split(text_of(joined[text]), "\n")) - F.size(lines), F.lit(0)).cast("long").alias("n_removed_lines"),
+    )
+    clean = F.when(F.isnull(lines), joined[text]).otherwise(F.array_join(lines, "\n"))
+    return joined.select(*((clean.alias(text) if c == text else joined[c]) for c in docs.columns), counts.alias(removed)), removed
+
+
 def drop_repeated_passages(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """Cleaned documents; those of which no word is left go."""
-    cleaned, _ = remove_repeats(docs, doc_id, text)
+    """Cleaned documents; those of which no word is left go, exact copies among them."""
+    cleaned, _ = remove_repeats(docs, doc_id, text, runs=True)
     return cleaned.where(text_of(F.col(text)).rlike(WORD)).select(*docs.columns)
 
 

@@ -115,6 +115,53 @@ def test_chunks_resist_shifts(spark):
     assert all("\n".join(r[name]).replace("\n ", "\n")[1:] == r["text"] for r in cut.collect())
 
 
+def brute_runs(texts):
+    """Texts without lines in runs of 50 words that stand earlier, and without short texts that do."""
+    lines = [[(i, x) for i, x in enumerate(t.split("\n")) if x.split()] for t in texts]
+    seen, gone = {}, [set() for _ in texts]
+    for d, own in enumerate(lines):
+        spans = [(i, j) for i in range(len(own)) for j in range(i, len(own)) if sum(len(x.split()) for _, x in own[i : j + 1]) >= 50]
+        if own and not spans:
+            spans = [(0, len(own) - 1)]
+        whole = sum(len(x.split()) for _, x in own) < 50
+        for i, j in spans:
+            key = (whole, *(x for _, x in own[i : j + 1]))
+            e, k = seen.setdefault(key, (d, i))
+            if (e, k) != (d, i) and not (e == d and i < k + j - i + 1):
+                gone[d] |= set(range(own[i][0], own[j][0] + 1))
+    return ["\n".join(x for i, x in enumerate(t.split("\n")) if i not in g) for t, g in zip(texts, gone, strict=True)]
+
+
+def test_runs_against_brute_force(spark):
+    rng = random.Random(9)
+
+    def line(n):
+        return rng.choice([" ", "\t", "  "]).join(f"w{rng.randrange(10**6)}" for _ in range(n))
+
+    shared = [[line(rng.randrange(55, 90) // n + 1) for _ in range(n)] for n in (1, 2, 3, 4, 5, 6, 30, 60)]
+    texts = []
+    for _ in range(60):
+        parts = [[line(rng.randrange(1, 30)) for _ in range(rng.randrange(0, 5))] for _ in range(3)]
+        parts[1] += rng.choice(shared) + [""] * rng.randrange(2)
+        texts.append("\n".join(sum(parts, [])))
+    texts += [texts[3], texts[7], "few words", "few words", "", "\n".join(["a b c d e f g h i j"] * 23)]
+    own = spark.createDataFrame(list(enumerate(texts)), "id long, t string")
+    gone = {}
+    for r in line_chunks.repeated_lines(own).collect():
+        gone.setdefault(r["id"], set()).add(r["line"])
+    got = ["\n".join(x for k, x in enumerate(t.split("\n")) if k not in gone.get(i, ())) for i, t in enumerate(texts)]
+    assert got == brute_runs(texts)
+
+
+@pytest.mark.parametrize("n", [1, 2, 3, 4, 5, 6])
+def test_short_passages_go_in_any_surroundings(spark, n):
+    passage = "\n".join("\t".join(f"p{i}x{j}" for j in range(60 // n + 1)) for i in range(n))
+    texts = [f"head {k} of its own\n{passage}\ntail {k} of its own" for k in range(12)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: r["text"] for r in line_chunks.drop_repeated_passages(docs).collect()}
+    assert got == {0: texts[0], **{k: f"head {k} of its own\ntail {k} of its own" for k in range(1, 12)}}
+
+
 def jaccard(a, b):
     return len(a & b) / len(a | b) if a | b else 0.0
 
