@@ -14,7 +14,7 @@ from lendscape.llm import fingerprints as fp
 from lendscape.llm import licences, line_chunks, mixture, packing, quality_rules, secret_scan, token_counts, warc
 from lendscape.llm import near_duplicates as nd
 from lendscape.llm.graph import components
-from lendscape.session import new_path
+from lendscape.session import keep, new_path
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, quality string, `_words` int, gone string, kept string"
 LONG = " ".join(f"w{i}" for i in range(30_000))
@@ -162,6 +162,26 @@ def test_short_passages_go_in_any_surroundings(spark, n):
     assert got == {0: texts[0], **{k: f"head {k} of its own\ntail {k} of its own" for k in range(1, 12)}}
 
 
+def test_exact_copies_leave_no_scraps(spark):
+    rng = random.Random(10)
+    texts = ["\n".join(" ".join(f"w{rng.randrange(10**6)}" for _ in range(rng.randrange(1, 45))) for _ in range(rng.randrange(1, 14))) for _ in range(40)]
+    rows = [(k * 100 + i, t) for k in range(3) for i, t in enumerate(texts)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["doc_id"]: r["text"] for r in line_chunks.drop_repeated_passages(docs).collect()}
+    assert got == dict(enumerate(texts))
+
+
+def test_exact_copies_do_not_reach_the_last_stage(spark):
+    rng = random.Random(11)
+    texts = ["\n".join(" ".join(f"w{rng.randrange(10**6)}" for _ in range(rng.randrange(1, 45))) for _ in range(rng.randrange(3, 14))) for _ in range(20)]
+    texts = [t for t in texts if len(t.split()) >= 20]
+    rows = [(k * 100 + i, t, "en", f"s{i % 5}", len(t)) for k in range(3) for i, t in enumerate(texts)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    for name, stage in corpus_pipeline.STAGES[:3]:
+        docs = keep(stage(spark, docs, ""), name)
+    assert {r["doc_id"]: r["text"] for r in docs.collect()} == dict(enumerate(texts)) and docs.count() == len(texts)
+
+
 def jaccard(a, b):
     return len(a & b) / len(a | b) if a | b else 0.0
 
