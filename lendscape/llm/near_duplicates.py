@@ -35,7 +35,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lendscape.llm.common import table, text_of
+from lendscape.llm.common import fresh, table, text_of
 from lendscape.llm.graph import components
 from lendscape.session import keep
 
@@ -292,14 +292,25 @@ def near_duplicates(docs: DataFrame, width: int = 5, limit_pct: int = LIMIT_PCT,
 
 
 def drop_near_duplicates(docs: DataFrame, width: int = 5, limit_pct: int = LIMIT_PCT) -> DataFrame:
-    """One document of each group, with its own columns. Of rows that repeat the surviving id one stays; rows without an id and class stay."""
-    verdict = near_duplicates(docs, width, limit_pct)
-    gone = keep(verdict.where(~F.col("kept") & F.col("component_id").isNotNull()).select("doc_id").distinct(), "dropped")
-    name = "_gone"
-    while name in docs.columns:
-        name += "_"
-    gone = gone.select(F.col("doc_id").alias(name)).hint("shuffle_hash")
-    return docs.join(gone, docs["doc_id"] == gone[name], "left_anti")
+    """One row of each group, with its own columns: that of the smallest id, and of its rows the first.
+
+    Rows are told apart by a number, so ids may repeat or be missing; a row with
+    an id goes before one without. Rows without words belong to no group and stay.
+    """
+    row, name, size, component = fresh(docs, "_row", "_gone", "_size", "_component")
+    # Written, because numbers given twice could differ.
+    numbered = keep(docs.withColumn(row, F.monotonically_increasing_id()), "numbered")
+    verdict = near_duplicates(numbered, width, limit_pct, doc_id=row).where(F.col("n_shingles") > 0)
+    verdict = keep(verdict.select(F.col("doc_id").alias(name), F.col("component_id").alias(component)), "verdict")
+    groups = verdict.groupBy(component).agg(F.count(F.lit(1)).alias(size)).where(F.col(size) > 1).select(component)
+    # How many rows have a copy has no bound: these joins never broadcast.
+    grouped = verdict.join(groups.hint("merge"), component)
+    ids = numbered.select(F.col("doc_id").alias("_id"), F.col(row).alias("_number"))
+    grouped = keep(grouped.join(ids.hint("merge"), F.col(name) == F.col("_number")).select(name, component, "_id"), "grouped")
+    place = F.struct(F.isnull("_id").alias("no_id"), F.col("_id").alias("id"), F.col(name).alias("row"))
+    best = grouped.groupBy(component).agg(F.min(place)["row"].alias("_best"))
+    gone = keep(grouped.select(name).join(best.select("_best").hint("merge"), F.col(name) == F.col("_best"), "left_anti"), "dropped")
+    return numbered.join(gone.hint("shuffle_hash"), F.col(row) == F.col(name), "left_anti").select(*docs.columns)
 
 
 def op1_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:

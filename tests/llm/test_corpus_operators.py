@@ -219,6 +219,19 @@ def test_near_duplicate_edges(odd, empty):
     assert {1, 3, 4, 5, 6, 7} <= {r["doc_id"] for r in kept.collect()}
 
 
+def test_near_duplicates_go_by_row(spark):
+    a, b, c, d = (" ".join(f"{x}{i}" for i in range(40)) for x in "abcd")
+    rows = [
+        (1, a, "r1"), (1, a, "r2"), (None, a, "r3"),  # a repeated row, and a copy without an id
+        (3, b, "r4"), (5, b, "r5"), (5, c, "r6"),  # id 5: a copy, and a text of its own
+        (None, d, "r7"), (None, d, "r8"), (7, "", "r9"), (None, None, "r10"),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, _row string").coalesce(1)
+    kept = nd.drop_near_duplicates(docs)
+    assert kept.columns == docs.columns
+    assert sorted(r["_row"] for r in kept.collect()) == sorted(["r1", "r4", "r6", "r7", "r9", "r10"])
+
+
 def test_sketches_merge_and_estimate():
     rng = np.random.default_rng(0)
     a, b, c = (rng.integers(0, 1 << 63, 800, dtype=np.uint64) for _ in range(3))
