@@ -175,6 +175,17 @@ feat AS (
   FROM stage1)"""
 
 
+# Every numeric column of feat.
+_NUMERIC = (
+    "age", "dependents", "monthly_income", "credit_score", "existing_emi", "credit_history_months", "existing_loans",
+    "credit_utilization_ratio", "loan_amount", "loan_term_months", "interest_rate", "emi_amount", "current_dpd",
+    "max_dpd_12m", "late_payments_12m", "payment_history_pct", "total_payments_made", "is_default", "estimated_lgd",
+    "ltv_ratio", "dti_ratio", "credit_history_years", "has_existing_loans", "loan_to_annual_income", "emi_burden_pct",
+    "total_debt_burden", "payment_consistency_score", "high_delinquency_risk", "days_since_disbursement",
+    "loan_maturity_pct", "payment_behavior_score", "family_size", "per_capita_income", "employment_stability_score",
+    "combined_risk_score", "pd_proxy", "expected_loss_amount", "early_warning_flag", "credit_deterioration",
+    "application_year", "application_month", "application_quarter", "application_day_of_week", "loan_vintage_months",
+)
 _FEAT = f"{_LOANS},{_features('loans')}"
 _SCORED = (
     _FEAT
@@ -349,6 +360,16 @@ ORACLE: dict[str, str] = {
       FROM ({_long('dirty', ('age', 'dependents', 'monthly_income', 'credit_score', 'existing_emi',
         'credit_history_months', 'existing_loans', 'credit_utilization_ratio', 'loan_amount', 'loan_term_months'),
         'CAST({} AS DOUBLE)')}) GROUP BY feature""",
+    "q12_invalid_features": f"""{_DIRTY},{_features('dirty')}
+      SELECT feature, count(*) FILTER (WHERE value IS NULL OR isnan(value) OR isinf(value)) AS invalid_count
+      FROM ({_long('feat', _NUMERIC, 'CAST({} AS DOUBLE)')}) GROUP BY feature""",
+    "q12_validate_features": f"""{_DIRTY},{_features('dirty')}
+      SELECT 'null:' || feature AS "check", count(*) FILTER (WHERE value IS NULL) AS "rows" FROM ({_long('feat', (
+        'credit_score_bucket', 'loan_to_annual_income', 'emi_burden_pct', 'dpd_category',
+        'combined_risk_score', 'pd_proxy'), 'CAST({} AS VARCHAR)')}) GROUP BY feature
+      UNION ALL
+      SELECT 'invalid:' || feature, count(*) FILTER (WHERE value IS NULL OR isnan(value))
+      FROM ({_long('feat', _NUMERIC, 'CAST({} AS DOUBLE)')}) GROUP BY feature""",
     "q13_missing_cells": f"""{_DIRTY} SELECT CAST(sum({' + '.join(
         f'CASE WHEN {n} IS NULL THEN 1 ELSE 0 END' for n in LOAN_COLUMNS)}) AS BIGINT) AS missing_values FROM dirty""",
     "f_credit_features": f"{_LOANS} SELECT loan_id, {_CREDIT} FROM loans",

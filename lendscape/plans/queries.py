@@ -356,6 +356,19 @@ def q12_invalid_numbers(spark, sf):
     return quality.invalid_numbers(df, first=10, infinite=True)
 
 
+@query
+def q12_invalid_features(spark, sf):
+    """All numeric columns; q12_invalid_numbers reports the first ten."""
+    df = dirty_loans(loans(spark, sf)).transform(features.engineer_row_features, AS_OF)
+    return quality.invalid_numbers(df, infinite=True)
+
+
+@query
+def q12_validate_features(spark, sf):
+    df = dirty_loans(loans(spark, sf)).transform(features.engineer_row_features, AS_OF)
+    return quality.validate_features(df)
+
+
 @query
 def q13_missing_cells(spark, sf):
     return quality.missing_cells(dirty_loans(loans(spark, sf)))

@@ -6,14 +6,16 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .. import fixed_values as V
 from ..operators.features import add_statistical_features, engineer_features, engineer_row_features, stamp
+from ..operators.quality import validate_features
 from ..operators.versions import latest_version, only_new
+from ..session import keep
 from ..sources.tables import read_bronze, read_table, table_exists, write_silver, write_to_bronze
 
 
 def build_silver(
     spark: SparkSession, bronze: str, silver: str, as_of=None, versions: str = "all", fmt: str = "parquet", **options
-) -> None:
-    """Recompute every feature and replace the table.
+) -> DataFrame:
+    """Recompute every feature, replace the table and report on the features stored: ``check, rows``.
 
     ``versions='latest'`` keeps the newest version of each loan; ``all`` keeps
     every version bronze holds.
@@ -22,6 +24,7 @@ def build_silver(
     if versions == "latest":
         df = latest_version(df)
     write_silver(df.transform(engineer_features, as_of, **options).transform(stamp), silver, fmt=fmt)
+    return keep(validate_features(read_table(spark, silver, fmt)), "feature-validation")
 
 
 def extend_silver(spark: SparkSession, bronze: str, silver_rows: str, as_of=None) -> None:

@@ -27,6 +27,13 @@ def silver_path(spark, portfolio_path, tmp_path_factory):
     return f"{folder}/silver"
 
 
+def test_silver_reports_on_its_features(spark, portfolio_path, folder):
+    tables.write_to_bronze(files.with_audit(spark.read.parquet(portfolio_path), LOAN_COLUMNS, origin="x"), f"{folder}/bronze")
+    report = {r["check"]: r["rows"] for r in silver.build_silver(spark, f"{folder}/bronze", f"{folder}/silver", AS_OF).collect()}
+    missing = tables.read_table(spark, f"{folder}/silver").where("pd_proxy IS NULL").count()
+    assert report["null:pd_proxy"] == report["invalid:pd_proxy"] == missing > 0
+
+
 def test_risk_filter_prunes_partitions(spark, silver_path):
     text = plan(selection.high_risk(tables.read_table(spark, silver_path)))
     assert re.search(r"PartitionFilters: \[[^\]]*risk_category[^\]]*= High", text)
