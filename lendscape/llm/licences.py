@@ -4,15 +4,16 @@ A multinomial logistic regression over sparse word bigrams tells licence
 families from each other and from other text (the unknown class). It is trained
 on variants of the families' notices and on a bounded sample of paragraphs from
 the corpus itself; its probabilities are calibrated by a temperature on held-out
-rows. A prediction counts only where the paragraph also covers enough of one of
-the family's notices.
+rows. A paragraph is searched by windows of the size of each notice; every
+family counts that has a window with enough of one of its notices, more than
+what a better covered family shares with it.
 
 The features are the bigrams of the notices: a paragraph with none of them is
 unknown without further work. Every paragraph of every text is read.
 
-Defined cases: a NULL text has one empty paragraph; paragraphs are lines; blank
-paragraphs are not counted; a predicted family without a matching notice is
-counted as unconfirmed; repeated rows are scanned one by one; an empty table
+Defined cases: a NULL text has no paragraph; paragraphs are runs of
+lines with words, without their comment marks; a paragraph in which a family is
+predicted, but no notice matches, is counted as unconfirmed; repeated rows are scanned one by one; an empty table
 gives an empty result, from a model trained without negatives.
 """
 
@@ -80,6 +81,9 @@ COVERAGE = 0.7  # share of a notice's bigrams that confirms it
 PROBABILITY = 0.5
 SEED = 5
 TOKEN = re.compile(r"[^\W_]+")
+MARK = re.compile(r"[^\w\n]*(?:(?:REM|rem|dnl)\b)?")  # in front of a line; other marks hold no words
+SPAN = 1.2  # words of a window, by those of the notice
+STRIDE = 20  # half a window of the search for unconfirmed ones, which is longer than any notice
 RESULT = "doc_id long, n_paragraphs long, n_licensed long, n_unconfirmed long, licences string, probability double"
 
 
@@ -88,6 +92,20 @@ def bigrams(text: str) -> list[tuple[str, str]]:
     return list(zip(words, words[1:], strict=False))
 
 
+def paragraphs(text: str) -> Iterator[list[str]]:
+    """Words of every run of lines with words."""
+    words: list[str] = []
+    for line in text.split("\n"):
+        found = TOKEN.findall(line[MARK.match(line).end() :].lower())
+        if found:
+            words += found
+        elif words:
+            yield words
+            words = []
+    if words:
+        yield words
+
+
 def vocabulary(notices=NOTICES) -> dict[tuple[str, str], int]:  # noqa: ANN001
     return {g: i for i, g in enumerate(sorted({g for texts in notices.values() for t in texts for g in bigrams(t)}))}
 
@@ -114,6 +132,11 @@ class Classifier:
     def __init__(self, families: list[str], vocab: dict, weights: np.ndarray, intercepts: np.ndarray, temperature: float, notices: dict):
         self.families, self.vocab, self.weights, self.intercepts, self.temperature = families, vocab, weights, intercepts, temperature
         self.notices = {k: [set(bigrams(t)) for t in v] for k, v in notices.items()}
+        self.sized = [(f, len(g), int(SPAN * len(bigrams(t))) + 1) for f, v in notices.items() for t in v for g in [set(bigrams(t))]]
+        self.of_gram: dict[int, list[int]] = {}
+        for i, grams in enumerate(g for v in self.notices.values() for g in v):
+            for gram in grams:
+                self.of_gram.setdefault(vocab[gram], []).append(i)
 
     def probabilities(self, indices: Iterable[int]) -> np.ndarray:
         score = (self.intercepts + self.weights[:, list(indices)].sum(axis=1)) / self.temperature
@@ -135,6 +158,56 @@ class Classifier:
         return family, float(p[best]), matching_notice(set(zip(words, words[1:], strict=False)), self.notices[family]) >= COVERAGE
 
 
+    def _windows(self, hits: list[tuple[int, int]]) -> Iterator[tuple[float, int, int, int, str, list]]:
+        """``coverage, size, length, start, family, hits`` of windows that hold enough of a notice."""
+        by_notice: dict[int, list[tuple[int, int]]] = {}
+        for hit in hits:
+            for i in self.of_gram[hit[1]]:
+                by_notice.setdefault(i, []).append(hit)
+        for i, own in by_notice.items():
+            family, size, span = self.sized[i]
+            if len(own) < COVERAGE * size:
+                continue
+            low, held = 0, {}
+            for high, (at, gram) in enumerate(own):
+                held[gram] = held.get(gram, 0) + 1
+                while own[low][0] <= at - span or held[own[low][1]] > 1:
+                    held[own[low][1]] -= 1
+                    if not held[own[low][1]]:
+                        del held[own[low][1]]
+                    low += 1
+                if len(held) >= COVERAGE * size:
+                    yield len(held) / size, size, at - own[low][0], own[low][0], family, own[low : high + 1]
+
+    def search(self, words: list[str]) -> tuple[dict[str, float], bool]:
+        """Confirmed families of a paragraph with their probabilities; whether one is predicted where none is confirmed."""
+        known = self.vocab
+        hits = [(at, i) for at, g in enumerate(zip(words, words[1:], strict=False)) if (i := known.get(g)) is not None]
+        if not hits:
+            return {}, False
+        sure, owner = {}, {}
+        # The best covered notice first, in its shortest window; what it holds counts for no other family.
+        for _, size, _, _, family, own in sorted(self._windows(hits), key=lambda w: (-w[0], -w[1], *w[2:5])):
+            free = [(at, g) for at, g in own if at not in owner]
+            if any(owner.get(at) == family for at, _ in own) or len({g for _, g in free}) < COVERAGE * size:
+                continue
+            p = float(self.probabilities({g for _, g in free})[self.families.index(family)])
+            sure[family] = max(p, sure.get(family, 0.0))
+            owner.update((at, family) for at, _ in free)
+        if sure:
+            return sure, False
+        slots: dict[int, set] = {}  # windows of two strides; every hit lies in two
+        for at, g in hits:
+            for slot in {max(0, at // STRIDE - 1), at // STRIDE}:
+                slots.setdefault(slot, set()).add(g)
+        for grams in slots.values():
+            p = self.probabilities(grams)
+            best = int(p.argmax())
+            if self.families[best] != UNKNOWN and p[best] >= PROBABILITY:
+                return {}, True
+        return {}, False
+
+
 def train(docs: DataFrame, text: str = "text", notices=NOTICES, negatives: int = NEGATIVES, seed: int = SEED) -> Classifier:  # noqa: ANN001
     """Fit on notice variants and at most ``negatives`` corpus paragraphs; every fourth row calibrates."""
     spark = docs.sparkSession
@@ -173,16 +246,18 @@ def scan(docs: DataFrame, model: Classifier, doc_id: str = "doc_id", text: str =
                        ("licences", pa.string()), ("probability", pa.float64())])
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        judge = shared.value.judge
+        search = shared.value.search
         for batch in batches:
             out = []
             for doc, body in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                paragraphs = [p for p in body.split("\n") if p.strip()]
-                verdicts = [v for v in map(judge, paragraphs) if v[0] != UNKNOWN]
-                sure = [v for v in verdicts if v[2]]
+                verdicts = [search(words) for words in paragraphs(body)]
+                sure: dict[str, float] = {}
+                for found, _ in verdicts:
+                    for family, p in found.items():
+                        sure[family] = max(p, sure.get(family, 0.0))
                 out.append(
-                    {"doc_id": doc, "n_paragraphs": len(paragraphs), "n_licensed": len(sure), "n_unconfirmed": len(verdicts) - len(sure),
-                     "licences": ",".join(sorted({v[0] for v in sure})), "probability": max((v[1] for v in sure), default=None)}
+                    {"doc_id": doc, "n_paragraphs": len(verdicts), "n_licensed": sum(bool(f) for f, _ in verdicts), "n_unconfirmed": sum(u for _, u in verdicts),
+                     "licences": ",".join(sorted(sure)), "probability": max(sure.values(), default=None)}
                 )
             yield pa.RecordBatch.from_pylist(out, schema=names)
 

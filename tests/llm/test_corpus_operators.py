@@ -338,6 +338,31 @@ def test_licences(spark, odd, empty):
     assert licences.scan(odd, model).count() == odd.count() and licences.scan(empty, licences.train(empty)).count() == 0
 
 
+def test_wrapped_and_several_licences(spark):
+    import textwrap
+
+    rows, want = [], []
+    for family, notices in licences.NOTICES.items():
+        for notice in notices:
+            for mark in ("", "# ", " * ", "// ", "REM ", ";; "):
+                for width in (30, 72):
+                    rows.append("x y z\n\n" + textwrap.fill(notice, width, initial_indent=mark, subsequent_indent=mark) + "\n\nmore of it")
+                    want.append(family)
+    names = sorted(licences.NOTICES)
+    for a in names:
+        for b in names:
+            if a < b:
+                rows.append(f"about words {licences.NOTICES[a][0]} Or else, {licences.NOTICES[b][0]} and more words")
+                want.append(f"{a},{b}")
+    rows.append("Dual-licensed under the MIT License and the Apache License, Version 2.0")
+    want.append("Apache-2.0,MIT")
+    docs = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    plain = spark.createDataFrame([(1, "some plain text of the work\nunder the sun")], "doc_id long, text string")
+    got = {r["doc_id"]: r for r in licences.scan(docs, licences.train(plain)).collect()}
+    assert [(rows[i], r["licences"]) for i, r in sorted(got.items()) if r["licences"] != want[i]] == []
+    assert got[0]["n_paragraphs"] == 3 and got[0]["n_licensed"] == 1
+
+
 def test_packing_rules(spark, odd, empty):
     rng = random.Random(5)
     rows = [(i, f"s{rng.choice([0, 0, 0, 1, 2, 3])}", rng.randrange(40), rng.choice([0, 5, 30, 100, 250])) for i in range(500)]
