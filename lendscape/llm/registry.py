@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from lendscape.llm import (
+    collocations,
     fingerprints,
     licences,
     line_chunks,
@@ -11,7 +12,9 @@ from lendscape.llm import (
     packing,
     quality_rules,
     secret_scan,
+    spelling,
     token_counts,
+    url_filters,
     warc,
 )
 
@@ -26,6 +29,9 @@ QUERIES = {
     "op8_fingerprints": fingerprints.op8_fingerprints,
     "op9_token_counts": token_counts.op9_token_counts,
     "op10_quality_rules": quality_rules.op10_quality_rules,
+    "op11_collocations": collocations.op11_collocations,
+    "op12_spelling": spelling.op12_spelling,
+    "op13_url_filters": url_filters.op13_url_filters,
 }
 ORACLE = {
     "op1_near_duplicates": near_duplicates.OP1_SQL,
