@@ -14,6 +14,11 @@ reached during the last cycle. A bitmap lets some others pass as well, so every
 phrase that is new to the counts is first held against the subphrases themselves;
 the counts are exact.
 
+Most pairs of frequent words are rare themselves. One scan in advance adds up the
+pairs by hash in ``PAIR_COUNTERS`` counters; an active pair whose counter stays below
+the threshold can't reach it and isn't sent. Where there are far more pairs than
+counters this prunes less, and changes no result.
+
 Defined cases: a NULL text has no words; a NULL language is ``und``; repeated rows
 count one by one; phrases with equal scores and counts are ordered by their UTF-8
 bytes; an empty table gives an empty result; columns of other names are not read.
@@ -44,6 +49,9 @@ REPORT = 2000
 
 SHARDS = 3
 FILTER_BITS = 1 << 25  # 4 MB each, whatever the input; raise it where phrases are counted in billions
+PAIR_COUNTERS = 1 << 24  # a byte each in every task of the scan in advance
+COUNTERS = 1 << 12  # in a row
+TASKS_PER_CORE = 8  # of the scan in advance, whose tasks all send their counters
 CHUNK = 16 << 20  # bytes of text that a task counts at a time
 BUCKET = 1 << 15  # bits that bitmap_construct_agg() holds in a row
 SLICES = 64  # of a language, before its best phrases meet in one task
@@ -75,19 +83,27 @@ def _bits(bitmap: np.ndarray, h: np.ndarray) -> np.ndarray:
     return (bitmap[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1
 
 
-def count_phrases(text: bytes, seed: int, lengths: list[int], reached: np.ndarray, recent: np.ndarray) -> Iterator[tuple]:
-    """``n, phrases, hashes, counts`` per length for normal text; 0 is the number of all words."""
+def encode(text: bytes, seed: int):
+    """Distinct words of normal text, their hashes, which of them are words, and their numbers in text order."""
     one = pa.Array.from_buffers(pa.large_string(), 1, [None, pa.py_buffer(np.array([0, len(text)], np.int64)), pa.py_buffer(text)])
     tokens = pc.list_flatten(pc.ascii_split_whitespace(one))
     tokens = tokens.filter(pc.greater(pc.binary_length(tokens), 0)).dictionary_encode()
     words = tokens.dictionary
     ids = tokens.indices.to_numpy(zero_copy_only=False).astype(np.int64)
     plain = words.cast(pa.large_binary()).to_pylist()
-    k = len(plain)
+    is_word = np.array([w != b"." for w in plain], bool)
+    hashes = np.array([zlib.crc32(w, seed) % PRIME for w in plain], np.int64)
+    return words, hashes, is_word, ids
+
+
+def count_phrases(
+    text: bytes, seed: int, lengths: list[int], reached: np.ndarray, recent: np.ndarray, pairs: np.ndarray
+) -> Iterator[tuple]:
+    """``n, phrases, hashes, counts`` per length for normal text; 0 is the number of all words."""
+    words, hashes, is_word, ids = encode(text, seed)
+    k = len(words)
     if not k:
         return
-    is_word = np.array([w != b"." for w in plain])
-    hashes = np.array([zlib.crc32(w, seed) % PRIME for w in plain], np.int64)
     if 1 in lengths:
         counts = np.bincount(ids, minlength=k)
         some = np.flatnonzero(is_word)
@@ -101,7 +117,7 @@ def count_phrases(text: bytes, seed: int, lengths: list[int], reached: np.ndarra
         if len(ids) < n:
             return
         ok = old[:-1] & old[1:]
-        wanted = np.flatnonzero(ok & (new[:-1] | new[1:])) if n in lengths else None
+        active = ok & (new[:-1] | new[1:]) if n in lengths else np.zeros(len(ok), bool)
         at = np.flatnonzero(ok)
         last = ids[at + n - 1]
         grown = np.zeros(len(ok), np.int64)
@@ -111,7 +127,8 @@ def count_phrases(text: bytes, seed: int, lengths: list[int], reached: np.ndarra
         code = np.zeros(len(ok), np.int64)
         code[at] = numbers
         h = grown
-        if wanted is not None and len(wanted):
+        wanted = np.flatnonzero(active & _bits(pairs, h) if n == 2 else active)
+        if len(wanted):
             _, first, counts = np.unique(code[wanted], return_index=True, return_counts=True)
             first = wanted[first]
             parts = [words.take(pa.array(ids[first + i])) for i in range(n)]
@@ -120,38 +137,90 @@ def count_phrases(text: bytes, seed: int, lengths: list[int], reached: np.ndarra
         old[at], new[at] = _bits(reached, h[at]), _bits(recent, h[at])
 
 
-def _counter(lengths: list[int], filters, chunk: int):
-    names = pa.schema([("lang", pa.string()), ("phrase", pa.string()), ("n", pa.int32()), ("h", pa.int64()), ("c", pa.int64())])
+def normal_parts(batches: Iterable[pa.RecordBatch], chunk: int) -> Iterator[tuple[str, int, bytes]]:
+    """``language, seed of its hashes, normal text`` in parts of about ``chunk`` bytes."""
+    texts: dict[str, list[bytes]] = {}
+    held = 0
 
-    def counted(texts: dict[str, list[bytes]]) -> Iterator[pa.RecordBatch]:
-        reached, recent = filters.value
+    def parts() -> Iterator[tuple[str, int, bytes]]:
         for lang, own in texts.items():
             normal = b".".join(own).translate(NORMAL).replace(b".", b" . ")
             seed = zlib.crc32(lang.encode("utf-8", "surrogatepass") + b"\0")
             for part in chunks(normal, 2 * chunk):
-                for n, phrases, hashes, counts in count_phrases(part, seed, lengths, reached, recent):
-                    rows = len(counts)
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.repeat(pa.scalar(lang), rows), phrases.cast(pa.string()), pa.repeat(pa.scalar(n, pa.int32()), rows),
-                         pa.array(hashes, pa.int64()), pa.array(counts, pa.int64())], schema=names,
-                    )
+                yield lang, seed, part
+
+    for batch in batches:
+        for lang, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+            text = text.as_py()
+            texts.setdefault(lang, []).append(text)
+            held += len(text)
+            if held >= chunk:
+                yield from parts()
+                texts, held = {}, 0
+    yield from parts()
+
+
+def _counter(lengths: list[int], filters, chunk: int):
+    names = pa.schema([("lang", pa.string()), ("phrase", pa.string()), ("n", pa.int32()), ("h", pa.int64()), ("c", pa.int64())])
 
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        texts: dict[str, list[bytes]] = {}
-        held = 0
-        for batch in batches:
-            for lang, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                text = text.as_py()
-                texts.setdefault(lang, []).append(text)
-                held += len(text)
-                if held >= chunk:
-                    yield from counted(texts)
-                    texts, held = {}, 0
-        yield from counted(texts)
+        for lang, seed, part in normal_parts(batches, chunk):
+            for n, phrases, hashes, counts in count_phrases(part, seed, lengths, *filters.value):
+                rows = len(counts)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.repeat(pa.scalar(lang), rows), phrases.cast(pa.string()), pa.repeat(pa.scalar(n, pa.int32()), rows),
+                     pa.array(hashes, pa.int64()), pa.array(counts, pa.int64())], schema=names,
+                )
 
     return count
 
 
+def frequent_pairs(dealt: DataFrame, least: int, chunk: int) -> np.ndarray:
+    """Bitmap of the counters of pairs of words that reach ``least``: no pair below it is as frequent."""
+    most = min(least, 255)
+    fields = pa.schema([("block", pa.int32()), ("counts", pa.binary())])
+
+    def rows(blocks: dict[int, np.ndarray]) -> Iterator[pa.RecordBatch]:
+        keys = list(blocks)
+        for low in range(0, len(keys), 1024):
+            part = keys[low : low + 1024]
+            yield pa.RecordBatch.from_arrays([pa.array(part, pa.int32()), pa.array([blocks[b].tobytes() for b in part], pa.binary())], schema=fields)
+
+    def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(PAIR_COUNTERS, np.uint8)
+        for _, seed, part in normal_parts(batches, chunk):
+            _, hashes, is_word, ids = encode(part, seed)
+            if len(ids) < 2:
+                continue
+            ok, h = is_word[ids], hashes[ids]
+            ok = ok[:-1] & ok[1:]
+            at, counts = np.unique((h[:-1][ok] * FACTOR + h[1:][ok]) % PRIME & (PAIR_COUNTERS - 1), return_counts=True)
+            total[at] = np.minimum(total[at] + counts, most)
+        blocks = total.reshape(-1, COUNTERS)
+        yield from rows({int(b): blocks[b] for b in np.flatnonzero(blocks.any(axis=1))})
+
+    def add(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, total, done = None, np.zeros(COUNTERS, np.int64), {}
+        for batch in batches:
+            for block, counts in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                if block != last and last is not None:
+                    done[last] = np.packbits(total >= most, bitorder="little")
+                    total = np.zeros(COUNTERS, np.int64)
+                last = block
+                total += np.frombuffer(counts, np.uint8)
+        if last is not None:
+            done[last] = np.packbits(total >= most, bitorder="little")
+        yield from rows(done)
+
+    tasks = TASKS_PER_CORE * dealt.sparkSession.sparkContext.defaultParallelism
+    counted = dealt.select("lang", F.col("text").cast("binary").alias("text")).coalesce(tasks).mapInArrow(count, "block int, counts binary")
+    summed = counted.repartition("block").sortWithinPartitions("block").mapInArrow(add, "block int, counts binary")
+    found = np.zeros(PAIR_COUNTERS // 8, np.uint8)
+    for block, bits in summed.collect():  # a bit for each counter
+        found[block * (COUNTERS // 8) : (block + 1) * (COUNTERS // 8)] = np.frombuffer(bits, np.uint8)
+    return found
+
+
 def _bitmap(reached: DataFrame) -> np.ndarray:
     """Bits of the hashes of ``reached``; a few megabytes, whatever the number of rows."""
     bit = F.col("h").bitwiseAND(F.lit(FILTER_BITS - 1))
@@ -180,6 +249,7 @@ def frequent_phrases(
     rows = docs.select(F.coalesce(F.col(lang).cast("string"), F.lit("und")).alias("lang"), text_of(F.col(text)).alias("text"))
     rows.withColumn("shard", F.pmod(F.monotonically_increasing_id(), F.lit(shards)).cast("int")).write.partitionBy("shard").parquet(f"{folder}/shards")
     dealt = spark.read.schema("lang string, text string, shard int").parquet(f"{folder}/shards")
+    pairs = frequent_pairs(dealt, least, chunk)
     reached = state = None
     # how many phrases of each length reached the threshold in each scan
     arrived: dict[int, dict[int, int]] = {}
@@ -189,7 +259,7 @@ def frequent_phrases(
         lengths = sorted({n + 1 for s in recent for n in arrived[s] if n < longest} | ({1} if step < shards else set()))
         nothing = np.zeros(FILTER_BITS // 8, np.uint8)
         pair = (_bitmap(reached), _bitmap(reached.where(F.col("since") >= step - shards))) if arrived else (nothing, nothing)
-        filters = spark.sparkContext.broadcast(pair)
+        filters = spark.sparkContext.broadcast((*pair, pairs))
         shard = dealt.where(F.col("shard") == step % shards).select("lang", F.col("text").cast("binary").alias("text"))
         now = shard.mapInArrow(_counter(lengths, filters, chunk), COUNTS) if lengths else spark.createDataFrame([], COUNTS)
         now = now.select("lang", "phrase", "n", "h", F.lit(None).cast("int").alias("act"), F.lit(None).cast("int").alias("since"), F.lit(0).cast("long").alias("old"), F.col("c").alias("new"))

@@ -70,6 +70,7 @@ def crowded(seed, n=260):
 @pytest.mark.parametrize("shards, chunk, prime", [(1, 100, 97), (3, 300, 2**31 - 1), (4, 10**6, 199)])
 def test_collocations_against_brute_force(spark, monkeypatch, shards, chunk, prime):
     monkeypatch.setattr(collocations, "PRIME", prime)  # few hashes let many others pass the bitmaps
+    monkeypatch.setattr(collocations, "PAIR_COUNTERS", 1 << 12)
     rows = crowded(shards)
     found = collocations.frequent_phrases(spark.createDataFrame(rows, "lang string, text string").repartition(5), shards=shards, chunk=chunk)
     got = sorted(map(tuple, collocations.collocations(found).collect()))
