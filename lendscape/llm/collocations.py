@@ -49,9 +49,9 @@ REPORT = 2000
 
 SHARDS = 3
 FILTER_BITS = 1 << 25  # 4 MB each, whatever the input; raise it where phrases are counted in billions
-PAIR_COUNTERS = 1 << 24  # a byte each in every task of the scan in advance
+PAIR_COUNTERS = 1 << 25  # a byte each in every task of the scan in advance
 COUNTERS = 1 << 12  # in a row
-TASKS_PER_CORE = 8  # of the scan in advance, whose tasks all send their counters
+TASKS_PER_CORE = 4  # of the scan in advance, whose tasks all send their counters
 CHUNK = 16 << 20  # bytes of text that a task counts at a time
 BUCKET = 1 << 15  # bits that bitmap_construct_agg() holds in a row
 SLICES = 64  # of a language, before its best phrases meet in one task
@@ -63,7 +63,6 @@ PRIME, FACTOR = (1 << 31) - 1, 1_103_515_245
 
 COUNTS = "lang string, phrase string, n int, h long, c long"
 REACHED = "lang string, phrase string, n int, h long, since int"
-STATE = "lang string, phrase string, n int, h long, act int, since int, c long"
 
 
 def chunks(text: bytes, size: int) -> Iterator[bytes]:
@@ -120,13 +119,13 @@ def count_phrases(
         active = ok & (new[:-1] | new[1:]) if n in lengths else np.zeros(len(ok), bool)
         at = np.flatnonzero(ok)
         last = ids[at + n - 1]
-        grown = np.zeros(len(ok), np.int64)
+        grown, codes = np.zeros(len(ok), np.int64), np.zeros(len(ok), np.int64)
         grown[at] = (h[at] * FACTOR + hashes[last]) % PRIME
-        # numbers of distinct phrases, from the number of the first words and the last word
-        _, numbers = np.unique(code[at] * k + last, return_inverse=True)
-        code = np.zeros(len(ok), np.int64)
-        code[at] = numbers
-        h = grown
+        before = code[at]
+        if k**n >= 1 << 62:  # number the distinct first words anew, so that the product fits
+            before = np.unique(before, return_inverse=True)[1]
+        codes[at] = before * k + last
+        h, code = grown, codes
         wanted = np.flatnonzero(active & _bits(pairs, h) if n == 2 else active)
         if len(wanted):
             _, first, counts = np.unique(code[wanted], return_index=True, return_counts=True)
@@ -221,14 +220,15 @@ def frequent_pairs(dealt: DataFrame, least: int, chunk: int) -> np.ndarray:
     return found
 
 
-def _bitmap(reached: DataFrame) -> np.ndarray:
-    """Bits of the hashes of ``reached``; a few megabytes, whatever the number of rows."""
+def _bitmap(reached: DataFrame) -> tuple[np.ndarray, set[int]]:
+    """Bits of the hashes of ``reached``, a few megabytes whatever the number of rows; and the lengths found."""
     bit = F.col("h").bitwiseAND(F.lit(FILTER_BITS - 1))
-    rows = reached.select(bit.alias("bit")).groupBy(F.shiftright("bit", 15).alias("bucket"))
-    found = np.zeros(FILTER_BITS // 8, np.uint8)
-    for bucket, bits in rows.agg(F.bitmap_construct_agg(F.col("bit").bitwiseAND(F.lit(BUCKET - 1)))).collect():
-        found[bucket * (BUCKET // 8) : (bucket + 1) * (BUCKET // 8)] = np.frombuffer(bits, np.uint8)
-    return found
+    rows = reached.select("n", bit.alias("bit")).groupBy("n", F.shiftright("bit", 15).alias("bucket"))
+    found, lengths = np.zeros(FILTER_BITS // 8, np.uint8), set()
+    for n, bucket, bits in rows.agg(F.bitmap_construct_agg(F.col("bit").bitwiseAND(F.lit(BUCKET - 1)))).collect():
+        found[bucket * (BUCKET // 8) : (bucket + 1) * (BUCKET // 8)] |= np.frombuffer(bits, np.uint8)
+        lengths.add(n)
+    return found, lengths
 
 
 def _first_words(phrase: str = "phrase") -> Column:
@@ -251,40 +251,40 @@ def frequent_phrases(
     dealt = spark.read.schema("lang string, text string, shard int").parquet(f"{folder}/shards")
     pairs = frequent_pairs(dealt, least, chunk)
     reached = state = None
-    # how many phrases of each length reached the threshold in each scan
-    arrived: dict[int, dict[int, int]] = {}
-    step, last = 0, shards - 1
+    nothing = np.zeros(FILTER_BITS // 8, np.uint8)
+    arrived: dict[int, np.ndarray] = {}  # bitmap of the phrases that reached the threshold in each scan of the last cycle
+    grow: dict[int, set[int]] = {}  # and their lengths
+    old, step, last = nothing.copy(), 0, shards - 1
     while step <= last:
         recent = [s for s in arrived if s >= step - shards]
-        lengths = sorted({n + 1 for s in recent for n in arrived[s] if n < longest} | ({1} if step < shards else set()))
-        nothing = np.zeros(FILTER_BITS // 8, np.uint8)
-        pair = (_bitmap(reached), _bitmap(reached.where(F.col("since") >= step - shards))) if arrived else (nothing, nothing)
-        filters = spark.sparkContext.broadcast((*pair, pairs))
+        lengths = sorted({n + 1 for s in recent for n in grow[s]} | ({1} if step < shards else set()))
+        new = np.bitwise_or.reduce([nothing, *(arrived[s] for s in recent)])
+        arrived = {s: arrived[s] for s in recent}
+        filters = spark.sparkContext.broadcast((old, new, pairs))
         shard = dealt.where(F.col("shard") == step % shards).select("lang", F.col("text").cast("binary").alias("text"))
-        now = shard.mapInArrow(_counter(lengths, filters, chunk), COUNTS) if lengths else spark.createDataFrame([], COUNTS)
-        now = now.select("lang", "phrase", "n", "h", F.lit(None).cast("int").alias("act"), F.lit(None).cast("int").alias("since"), F.lit(0).cast("long").alias("old"), F.col("c").alias("new"))
+        counted = shard.mapInArrow(_counter(lengths, filters, chunk), COUNTS) if lengths else spark.createDataFrame([], COUNTS)
+        rows = counted.selectExpr("lang", "phrase", "n", "h", "cast(NULL AS int) AS act", "cast(NULL AS int) AS since", "0L AS old", "c AS new")
         if state is not None:
-            now = now.unionByName(state.select("lang", "phrase", "n", "h", "act", "since", F.col("c").alias("old"), F.lit(0).cast("long").alias("new")))
-        both = now.groupBy("lang", "phrase").agg(F.max("n").alias("n"), F.max("h").alias("h"), F.max("act").alias("act"), F.max("since").alias("since"), F.sum("old").alias("old"), F.sum("new").alias("new"))
-        both = both.withColumn("act", F.when(F.col("n") <= 1, 0).otherwise(F.col("act")))
+            rows = rows.unionByName(state.selectExpr("lang", "phrase", "n", "h", "act", "since", "c AS old", "0L AS new"))
+        both = rows.groupBy("lang", "phrase").agg(*(F.max(c).alias(c) for c in ("n", "h", "act", "since")), *(F.sum(c).alias(c) for c in ("old", "new")))
+        both = keep(both.withColumn("act", F.when(F.col("n") <= 1, 0).otherwise(F.col("act"))), "counted")
         if reached is not None:
-            both = keep(both, "counted")
-            both = both.where("act IS NOT NULL").unionByName(_verified(both.where("act IS NULL"), reached))
-        inside = (F.col("act") <= step) & (F.col("act") > step - shards)
-        c = F.col("old") + F.when(inside, F.col("new")).otherwise(0)
-        both = both.where(inside).withColumn("c", c)
-        since = F.coalesce("since", F.when(F.col("c") >= least, F.lit(step)))
-        both = keep(both.select("lang", "phrase", "n", "h", "act", since.alias("since"), "c"), "state")
+            verified = keep(_verified(both.where("act IS NULL"), reached), "verified")
+            both = both.where("act IS NOT NULL").unionByName(verified)
+        both = both.where((F.col("act") <= step) & (F.col("act") > step - shards)).withColumn("c", F.col("old") + F.col("new"))
+        both = both.withColumn("since", F.coalesce("since", F.when(F.col("c") >= least, F.lit(step)))).drop("old", "new")
         ends = F.col("act") == step - shards + 1
-        both.where(ends & ((F.col("c") >= least) | (F.col("n") == 0))).select("lang", "phrase", "n", F.col("c").alias("f")).write.parquet(f"{folder}/found/step={step}")
+        complete = both.where(ends & ((F.col("c") >= least) | (F.col("n") == 0)))
+        complete.select("lang", "phrase", "n", F.col("c").alias("f")).write.parquet(f"{folder}/found/step={step}")
         state = both.where(~ends)
-        newly = both.where((F.col("since") == step) & (F.col("n").between(1, longest - 1)))
+        newly = both.where((F.col("since") == step) & F.col("n").between(1, longest - 1))
         newly.select("lang", "phrase", "n", "h").write.parquet(f"{folder}/reached/since={step}")
-        counts = {r["n"]: r["count"] for r in newly.groupBy("n").count().collect()}
-        if counts:
-            arrived[step] = counts
-            last = max(last, step + shards)
         reached = spark.read.schema(REACHED).parquet(f"{folder}/reached")
+        now, lengths = _bitmap(reached.where(F.col("since") == step))
+        if lengths:
+            arrived[step], grow[step] = now, lengths
+            old = old | now
+            last = max(last, step + shards)
         filters.destroy()
         step += 1
     return spark.read.schema("lang string, phrase string, n int, f long, step int").parquet(f"{folder}/found").drop("step")
