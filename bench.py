@@ -15,7 +15,7 @@ from pathlib import Path
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", "8")
-GBT_ROUNDS = int(os.environ.get("BENCH_ROUNDS", "20"))
+GBT_ROUNDS = int(os.environ.get("BENCH_ROUNDS", "200"))
 
 sys.path.insert(0, str(Path(__file__).parent))
 
@@ -84,6 +84,7 @@ def main() -> None:
                 "sf": SF_DIR.rsplit("sf", 1)[-1],
                 "silver_rows": rows,
                 "gbt_rounds": GBT_ROUNDS,
+                "gbt_rounds_kept": trained.model.stages[-1].getNumTrees,
                 "test_metrics": {k: round(v, 4) for k, v in trained.metrics.items() if v is not None},
             }
         )

@@ -135,5 +135,5 @@ LABEL_LEAKS = ("loan_status", "dpd_category", "current_dpd", "combined_risk_scor
                "payment_behavior_score")
 
 # ---- boosted-tree settings ----
-TREE_DEPTH, LEARNING_RATE, ROUNDS, SMOKE_ROUNDS, PATIENCE_TOL = 6, 0.1, 200, 100, 0.001
+TREE_DEPTH, LEARNING_RATE, ROUNDS, SMOKE_ROUNDS, PATIENCE = 6, 0.1, 200, 100, 20
 TEST_SHARE, SPLIT_SEED = 0.2, 42

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from .. import fixed_values as V
 from ..session import shared_folder
+from .boosting import boost
 from .encoding import MISSING_CATEGORY, class_weights, feature_lists, hash_split
 from .evaluation import auc_roc, binary_metrics, risk_rating
 
@@ -53,10 +54,10 @@ def train_default_model(
     depth: int = V.TREE_DEPTH,
     unseen: str = "error",
 ) -> PipelineModel:
-    """Fit on the rows with ``is_test`` false; boosting ends where a slice of them gains nothing more.
+    """Fit on the rows with ``is_test`` false; rounds after the best AUC on a slice of them are cut off.
 
-    No step sees a test row. Preparation is fitted on all training rows. Both
-    classes weigh the same.
+    Boosting ends when ``V.PATIENCE`` rounds brought no better AUC. No step sees a
+    test row. Preparation is fitted on all training rows. Both classes weigh the same.
     """
     shared_folder(df.sparkSession)  # boosting cuts its lineage there every few rounds
     numeric, categorical = feature_lists(features, leak_free)
@@ -72,8 +73,6 @@ def train_default_model(
         featuresCol=FEATURES_COLUMN,
         predictionCol="_prediction",
         weightCol="weight",
-        validationIndicatorCol="is_validation",
-        validationTol=V.PATIENCE_TOL,
         maxDepth=depth,
         stepSize=V.LEARNING_RATE,
         maxIter=rounds,
@@ -86,7 +85,9 @@ def train_default_model(
     booster.setProbabilityCol("_probability").setRawPredictionCol("_raw")
     matrix.persist(StorageLevel.MEMORY_AND_DISK)  # read in every round
     try:
-        trees = booster.fit(matrix)
+        trees = boost(
+            matrix.where(~F.col("is_validation")), matrix.where("is_validation"), booster, V.TARGET, V.PATIENCE
+        )
     finally:
         matrix.unpersist()
     return PipelineModel(stages=[*prepared.stages, trees])

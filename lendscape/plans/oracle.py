@@ -470,6 +470,12 @@ ORACLE: dict[str, str] = {
     "m05_class_weights": f"""{_LOANS} SELECT loan_id, is_default, CASE WHEN is_default = 1
       THEN (SELECT CAST(count(*) - sum(is_default) AS DOUBLE) / sum(is_default) FROM loans) ELSE 1e0 END AS weight
       FROM loans""",
+    "m06_scored_facts": f"""{_SPLIT} SELECT loan_id, is_default, is_test, TRUE AS probability_valid,
+      TRUE AS prediction_fits, TRUE AS rating_fits, TRUE AS reloaded_equal FROM split""",
+    "m13_importance_facts": f"""{_LOANS} SELECT CAST({len(RECORDED_NUMERIC) + len(RECORDED_CATEGORICAL)} AS BIGINT) AS features,
+      CAST(0 AS BIGINT) AS negative, 1e0 AS total,
+      '[{", ".join(sorted((*RECORDED_NUMERIC, *RECORDED_CATEGORICAL)))}]' AS names FROM (SELECT 1 FROM loans LIMIT 1)""",
+    "st3_streamed_facts": f"{_LOANS} SELECT loan_id, TRUE AS same_probability, TRUE AS same_rating FROM loans",
     "m08_binary_metrics": f"""{_SCORED} SELECT round({_ratio('tp + tn', 'tp + fp + fn + tn')}, 6) AS accuracy,
       round({_ratio('tp', 'tp + fp')}, 6) AS precision, round({_ratio('tp', 'tp + fn')}, 6) AS recall,
       round({_ratio('2 * tp', '2 * tp + fp + fn')}, 6) AS f1_score FROM cm""",

@@ -692,6 +692,40 @@ def m06_m16_trained_scores(spark, sf):
     )
 
 
+@query
+def m06_scored_facts(spark, sf):
+    """What holds for the trained scores of every loan, whatever the model: ranges, and the saved model's scores."""
+    data = keep(encoding.stratified_split(featured(spark, sf)), "training-data")
+    model, path = modelling.train_default_model(data, features="smoke", rounds=V.SMOKE_ROUNDS), new_path(spark, "model")
+    modelling.save_model(model, path)
+    first = modelling.score_new_loans(data, model)
+    again = modelling.score_new_loans(data, modelling.load_model(path))
+    again = again.select("loan_id", c("default_probability").alias("p"), c("risk_rating").alias("again"))
+    p = c("default_probability")
+    return first.join(again, "loan_id").select(
+        "loan_id",
+        "is_default",
+        "is_test",
+        ((p > 0) & (p < 1)).alias("probability_valid"),
+        (c("default_prediction") == (p > 0.5).cast("int")).alias("prediction_fits"),
+        (c("risk_rating") == evaluation.risk_rating()).alias("rating_fits"),
+        ((F.abs(p - c("p")) < 1e-12) & (c("risk_rating") == c("again"))).alias("reloaded_equal"),
+    )
+
+
+@query
+def m13_importance_facts(spark, sf):
+    """Importances of the recorded inputs: one each, none negative, adding up to 1."""
+    data = keep(encoding.stratified_split(featured(spark, sf)), "training-data")
+    importance = modelling.feature_importance(spark, modelling.train_default_model(data, rounds=V.SMOKE_ROUNDS, depth=4))
+    return importance.agg(
+        F.countDistinct("feature").alias("features"),
+        F.count_if(c("importance") < 0).alias("negative"),
+        F.round(F.sum("importance"), 6).alias("total"),
+        F.sort_array(F.collect_list("feature")).cast("string").alias("names"),
+    )
+
+
 @query
 def m13_feature_importance(spark, sf):
     data = keep(encoding.stratified_split(featured(spark, sf)), "training-data")
@@ -808,6 +842,25 @@ def st3_stream_scoring(spark, sf):
     return spark.read.parquet(out).select("loan_id", "default_prediction", "default_probability", "risk_rating")
 
 
+@query
+def st3_streamed_facts(spark, sf):
+    """Loans scored on a stream and in batch by one model agree."""
+    data = keep(encoding.stratified_split(featured(spark, sf)), "training-data")
+    model = modelling.train_default_model(data, features="smoke", rounds=V.SMOKE_ROUNDS)
+    out = new_path(spark, "rated")
+    stream = loan_stream(spark, sf).transform(features.engineer_row_features, AS_OF)
+    stream_metrics.to_files(stream_metrics.score_stream(stream, model), out, new_path(spark, "progress")).awaitTermination()
+    streamed = spark.read.parquet(out).select(
+        "loan_id", c("default_probability").alias("p"), c("risk_rating").alias("streamed")
+    )
+    batch = modelling.score_new_loans(data, model)
+    return batch.join(streamed, "loan_id", "full").select(
+        "loan_id",
+        F.coalesce(F.abs(c("default_probability") - c("p")) < 1e-12, F.lit(False)).alias("same_probability"),
+        c("risk_rating").eqNullSafe(c("streamed")).alias("same_rating"),
+    )
+
+
 @query
 def st4_windowed_metrics(spark, sf):
     """Loans per 30-day window and purpose; the newest windows are still open."""
