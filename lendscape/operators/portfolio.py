@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import fixed_values as V
-from .ranks import exact_quantiles
+from .ranks import column_profile, exact_quantiles
 
 
 def count_by(df: DataFrame, key: str, drop_nulls: bool = False) -> DataFrame:
@@ -40,21 +40,12 @@ def table_shape(df: DataFrame) -> DataFrame:
 
 def describe_numeric(df: DataFrame, columns: Sequence[str] = V.SUMMARY_COLUMNS) -> DataFrame:
     """count, mean, std, min, quartiles and max per column, quartiles exact."""
-    long = df.select(*[F.col(c).cast("double").alias(c) for c in columns]).unpivot(
-        [], list(columns), "feature", "value"
+    profile = column_profile(df, columns, (0.25, 0.5, 0.75))
+    rows = [(c, p["count"], p["mean"], p["std"], p["min"], *p["quantiles"], p["max"]) for c, p in profile.items()]
+    return df.sparkSession.createDataFrame(
+        rows,
+        "feature string, count long, mean double, std double, min double, p25 double, p50 double, p75 double, max double",
     )
-    moments = long.groupBy("feature").agg(
-        F.count("value").alias("count"),
-        F.avg("value").alias("mean"),
-        F.stddev_samp("value").alias("std"),
-        F.min("value").alias("min"),
-        F.max("value").alias("max"),
-    )
-    quartiles = exact_quantiles(df, columns, (0.25, 0.5, 0.75))
-    return moments.join(quartiles, "feature", "left").select(
-        "feature", "count", "mean", "std", "min",
-        F.col("q0").alias("p25"), F.col("q1").alias("p50"), F.col("q2").alias("p75"), "max",
-    )
 
 
 def medians(df: DataFrame, columns: Sequence[str]) -> DataFrame:

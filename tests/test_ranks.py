@@ -11,6 +11,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from lendscape.operators import encoding, evaluation, portfolio
+from lendscape.operators import ranks
 from lendscape.operators.ranks import exact_quantiles, positions, running_totals
 
 
@@ -121,3 +122,53 @@ def test_profiles_of_versions_do_not_multiply(spark):
     keys = ("loan_id", "record_hash")
     both = portfolio.combine_profiles(df.select(*keys), df, keys=keys)
     assert sorted(tuple(r) for r in both.collect()) == [("a", "h1", 1), ("a", "h2", 2), ("a", "h2", 2)]
+
+
+@pytest.fixture
+def small_brackets(monkeypatch):
+    monkeypatch.setattr(ranks, "INSIDE", 8)
+    monkeypatch.setattr(ranks, "GRID", 10)
+    monkeypatch.setattr(ranks, "SKETCH", 5)  # rough sketches: brackets that miss have to be mended
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_quantiles_by_brackets(spark, small_brackets, seed):
+    rng = np.random.default_rng(seed)
+    n = int(rng.integers(50, 900))
+    columns = {
+        "spread": rng.normal(size=n),
+        "tied": rng.integers(0, 3, n).astype(float),
+        "mostly": np.where(rng.random(n) < 0.9, 5.0, rng.normal(size=n)),
+        "edges": np.where(rng.random(n) < 0.3, -np.inf, np.where(rng.random(n) < 0.5, np.inf, rng.random(n))),
+        "holes": np.where(rng.random(n) < 0.5, None, rng.random(n)),
+        "same": np.zeros(n),
+    }
+    rows = [tuple(None if v is None else float(v) for v in r) for r in zip(*columns.values())]
+    df = spark.createDataFrame(rows, ", ".join(f"{c} double" for c in columns)).repartition(7).cache()
+    probabilities = (0.0, 0.01, 0.25, 0.5, 0.77, 1.0)
+    got = ranks.column_profile(df, list(columns), probabilities)
+    for c, values in columns.items():
+        own = np.array([v for v in values if v is not None], float)
+        order = np.sort(own)
+        for p, q in zip(probabilities, got[c]["quantiles"]):
+            position = (len(own) - 1) * p
+            low, high = order[int(np.floor(position))], order[int(np.ceil(position))]
+            want = low if low == high else low + (high - low) * (position - np.floor(position))
+            assert q == pytest.approx(want, nan_ok=True)
+        assert (got[c]["count"], got[c]["min"], got[c]["max"]) == (len(own), order[0], order[-1])
+        if c != "edges":
+            assert got[c]["mean"] == pytest.approx(own.mean()) and got[c]["std"] == pytest.approx(own.std(ddof=1))
+
+
+def test_profile_of_odd_columns(spark, small_brackets):
+    df = spark.createDataFrame([(1.0, float("nan"), None, 3), (2.0, 1.0, None, 3)], "a double, b double, c double, d int")
+    got = ranks.column_profile(df, ["a", "b", "c", "d"], (0.0, 0.5, 1.0))
+    assert got["a"]["quantiles"] == [1.0, 1.5, 2.0] and got["d"]["quantiles"] == [3, 3, 3]
+    assert got["b"]["quantiles"][0] == 1.0 and np.isnan(got["b"]["quantiles"][2]) and np.isnan(got["b"]["max"])
+    assert got["c"] == {"count": 0, "mean": None, "std": None, "min": None, "max": None, "quantiles": [None] * 3}
+    assert ranks.column_profile(df.limit(0), ["a"], (0.5,))["a"]["count"] == 0
+
+
+def test_brackets_among_many_values(spark, small_brackets):
+    df = spark.range(20_000).select(F.col("id").cast("double").alias("v"))
+    assert ranks.column_profile(df, ["v"], (0.5,))["v"]["quantiles"] == [9999.5]
