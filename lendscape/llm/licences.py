@@ -192,6 +192,8 @@ class Classifier:
             if any(owner.get(at) == family for at, _ in own) or len({g for _, g in free}) < COVERAGE * size:
                 continue
             p = float(self.probabilities({g for _, g in free})[self.families.index(family)])
+            if p < PROBABILITY:
+                continue  # the notice only confirms what the classifier predicts
             sure[family] = max(p, sure.get(family, 0.0))
             owner.update((at, family) for at, _ in free)
         if sure:
@@ -240,13 +242,12 @@ def train(docs: DataFrame, text: str = "text", notices=NOTICES, negatives: int =
 
 
 def scan(docs: DataFrame, model: Classifier, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """Licences of every row; ``model`` goes to every task once."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # as large as the notices, whatever the input
+    """Licences of every row: families that the classifier predicts for a window and a notice confirms."""
     names = pa.schema([("doc_id", pa.int64()), ("n_paragraphs", pa.int64()), ("n_licensed", pa.int64()), ("n_unconfirmed", pa.int64()),
                        ("licences", pa.string()), ("probability", pa.float64())])
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        search = shared.value.search
+        search = model.search  # travels by value with this function, and is as large as the notices
         for batch in batches:
             out = []
             for doc, body in zip(*(c.to_pylist() for c in batch.columns), strict=True):

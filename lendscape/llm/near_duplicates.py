@@ -26,7 +26,6 @@ from __future__ import annotations
 import hashlib
 import math
 from collections.abc import Iterable, Iterator
-from functools import cache
 
 import numpy as np
 import pandas as pd
@@ -49,12 +48,14 @@ SEED = 7
 BLOCK = 512
 
 
-@cache
-def _tables() -> tuple[np.ndarray, np.ndarray]:
-    rng = np.random.default_rng(SEED)
-    byte = rng.integers(1, 1 << 63, 256, dtype=np.uint64)
-    byte[[32, 9, 10, 11, 12, 13]] = 0
-    return byte, rng.integers(0, 1 << 63, (BANDS * ROWS, 1), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+# Functions travel to workers by value, where a cache object would look for this package.
+def _tables(_known: dict = {}) -> tuple[np.ndarray, np.ndarray]:  # noqa: B006
+    if not _known:
+        rng = np.random.default_rng(SEED)
+        byte = rng.integers(1, 1 << 63, 256, dtype=np.uint64)
+        byte[[32, 9, 10, 11, 12, 13]] = 0
+        _known[0] = byte, rng.integers(0, 1 << 63, (BANDS * ROWS, 1), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+    return _known[0]
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -67,12 +68,13 @@ def _mix(x: np.ndarray) -> np.ndarray:
 FACTOR = 0x9E3779B97F4A7C15
 
 
-@cache
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+def _powers(n: int, _known: dict = {}) -> tuple[np.ndarray, np.ndarray]:  # noqa: B006
     """Powers of the factor and of its inverse; ``n`` is a power of two."""
-    up, down = np.full(n, FACTOR, np.uint64), np.full(n, pow(FACTOR, -1, 1 << 64), np.uint64)
-    up[0] = down[0] = 1
-    return np.multiply.accumulate(up), np.multiply.accumulate(down)
+    if n not in _known:
+        up, down = np.full(n, FACTOR, np.uint64), np.full(n, pow(FACTOR, -1, 1 << 64), np.uint64)
+        up[0] = down[0] = 1
+        _known[n] = np.multiply.accumulate(up), np.multiply.accumulate(down)
+    return _known[n]
 
 
 def word_hashes(text: str) -> np.ndarray:
