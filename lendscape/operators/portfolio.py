@@ -85,13 +85,28 @@ def segment_profile(df: DataFrame, *keys: str) -> DataFrame:
     )
 
 
+def _one_per_key(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """One row per key that isn't NULL; rows of one key that differ are an error."""
+    rest = [n for n in df.columns if n not in keys]
+    if not rest:
+        return df.distinct()
+    whole = df.dropna(subset=list(keys)).groupBy(*keys)
+    found = whole.agg(
+        F.first(F.struct(*rest)).alias("_row"),
+        (F.min(F.xxhash64(*rest)) == F.max(F.xxhash64(*rest))).alias("_alike"),
+    )
+    fault = F.raise_error(F.concat(F.lit(f"several rows for one {', '.join(keys)}: "), F.to_json(F.struct(*keys))))
+    checked = found.withColumn("_row", F.when(F.col("_alike"), F.col("_row")).otherwise(fault))
+    return checked.select(*keys, *[F.col("_row")[n].alias(n) for n in rest])
+
+
 def combine_profiles(base: DataFrame, *others: DataFrame, keys: Sequence[str] = ("loan_id",)) -> DataFrame:
     """Put column groups of the same loans side by side, matched on ``keys``.
 
     Where loans have several versions, the keys must tell these apart
-    (``loan_id, record_hash``). Every key meets one row of each other group, so
-    repeated rows never multiply; a NULL key meets nothing.
+    (``loan_id, record_hash``): rows of one key that differ raise an error, equal
+    ones count once. A NULL key meets nothing.
     """
     for other in others:
-        base = base.join(other.dropDuplicates(list(keys)), list(keys))
+        base = base.join(_one_per_key(other, keys), list(keys))
     return base

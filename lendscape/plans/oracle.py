@@ -308,6 +308,8 @@ ORACLE: dict[str, str] = {
       FROM hashed GROUP BY loan_status""",
     "s10_bronze_merge": f"""{_BATCH2} SELECT loan_id, loan_status, current_dpd, record_hash FROM hashed
       UNION ALL SELECT loan_id, loan_status, current_dpd, record_hash FROM fresh""",
+    "s10_bucketed_merge": f"""{_BATCH2} SELECT loan_id, loan_status, current_dpd, record_hash FROM hashed
+      UNION ALL SELECT loan_id, loan_status, current_dpd, record_hash FROM fresh""",
     "s11_silver_write": f"{_LOANS} SELECT risk_category, loan_purpose, count(*) AS count FROM loans GROUP BY ALL",
     "s12_replace_partitions": f"""{_LOANS} SELECT loan_id, risk_category, loan_purpose,
       CAST(current_dpd + CASE WHEN risk_category = 'High' THEN 1 ELSE 0 END AS INT) AS current_dpd FROM loans""",
@@ -355,11 +357,9 @@ ORACLE: dict[str, str] = {
       SELECT feature, count(*) FILTER (WHERE value IS NULL) AS null_count FROM ({_long('feat', (
         'credit_score_bucket', 'loan_to_annual_income', 'emi_burden_pct', 'dpd_category',
         'combined_risk_score', 'pd_proxy'), 'CAST({} AS VARCHAR)')}) GROUP BY feature""",
-    "q12_invalid_numbers": f"""{_DIRTY}
+    "q12_invalid_numbers": f"""{_DIRTY},{_features('dirty')}
       SELECT feature, count(*) FILTER (WHERE value IS NULL OR isnan(value) OR isinf(value)) AS invalid_count
-      FROM ({_long('dirty', ('age', 'dependents', 'monthly_income', 'credit_score', 'existing_emi',
-        'credit_history_months', 'existing_loans', 'credit_utilization_ratio', 'loan_amount', 'loan_term_months'),
-        'CAST({} AS DOUBLE)')}) GROUP BY feature""",
+      FROM ({_long('feat', _NUMERIC, 'CAST({} AS DOUBLE)')}) GROUP BY feature""",
     "q12_invalid_features": f"""{_DIRTY},{_features('dirty')}
       SELECT feature, count(*) FILTER (WHERE value IS NULL OR isnan(value) OR isinf(value)) AS invalid_count
       FROM ({_long('feat', _NUMERIC, 'CAST({} AS DOUBLE)')}) GROUP BY feature""",

@@ -7,6 +7,7 @@ are rounded, because their last digits depend on the order of addition.
 from __future__ import annotations
 
 import datetime
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -152,6 +153,21 @@ def s10_bronze_merge(spark, sf):
     return merged_bronze(spark, sf).select("loan_id", "loan_status", "current_dpd", "record_hash")
 
 
+@query
+def s10_bucketed_merge(spark, sf):
+    """The same deliveries into buckets: the target is never shuffled."""
+    path = new_path(spark, "bronze")
+    name = f"bronze_{uuid.uuid4().hex}"
+    first = loans(spark, sf)
+    tables.write_bucketed(bronze_frame(first, "2001-12-30"), name, path, buckets=16)
+    later = bronze_frame(second_batch(first), "2001-12-31")
+    tables.write_bucketed(later, name)
+    tables.write_bucketed(later, name)
+    # The files stay, the name is only needed to write.
+    spark.sql(f"DROP TABLE {name}")
+    return tables.read_bronze(spark, path).select("loan_id", "loan_status", "current_dpd", "record_hash")
+
+
 @query
 def s11_silver_write(spark, sf):
     path = new_path(spark, "silver")
@@ -353,12 +369,11 @@ def q11_critical_nulls(spark, sf):
 @query
 def q12_invalid_numbers(spark, sf):
     df = dirty_loans(loans(spark, sf)).transform(features.engineer_row_features, AS_OF)
-    return quality.invalid_numbers(df, first=10, infinite=True)
+    return quality.invalid_numbers(df, infinite=True)
 
 
 @query
 def q12_invalid_features(spark, sf):
-    """All numeric columns; q12_invalid_numbers reports the first ten."""
     df = dirty_loans(loans(spark, sf)).transform(features.engineer_row_features, AS_OF)
     return quality.invalid_numbers(df, infinite=True)
 

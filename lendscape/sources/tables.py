@@ -9,10 +9,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import fixed_values as V
-from ..operators.versions import MERGE_KEYS, unmatched
+from ..operators.versions import BUCKET_KEY, MERGE_KEYS, unmatched, unmatched_bucketed
 from .files import in_source_order
 
 
+BUCKETS = 200
+
+
 def read_table(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
     """``fmt='delta'`` works when that connector is on the class path."""
     return spark.read.format(fmt).load(path)
@@ -55,6 +58,23 @@ def replace_partitions(df: DataFrame, path: str, partitions: Sequence[str], fmt:
     _writer(df, partitions, fmt, "overwrite").option("partitionOverwriteMode", "dynamic").save(path)
 
 
+def check_columns(batch: DataFrame, target: DataFrame, partitions: Sequence[str] = ()) -> None:
+    """Refuse a batch whose columns differ from the table's in name or type.
+
+    Types of partition columns aren't compared: folders hold their values as text.
+    """
+    have, want = ({f.name: f.dataType.simpleString() for f in df.schema} for df in (batch, target))
+    faults = [f"{n} is missing" for n in want if n not in have]
+    faults += [f"{n} is not in the table" for n in have if n not in want]
+    faults += [
+        f"{n} is {have[n]}, in the table {want[n]}"
+        for n in have
+        if n in want and n not in partitions and have[n] != want[n]
+    ]
+    if faults:
+        raise ValueError("batch does not fit the table: " + "; ".join(faults))
+
+
 def write_to_bronze(
     df: DataFrame,
     path: str,
@@ -65,17 +85,68 @@ def write_to_bronze(
     """Create the table, or append the rows whose key it does not hold yet.
 
     Appending is idempotent for one writer: after a crash the same batch can be
-    sent again and only what is missing is added.
+    sent again and only what is missing is added. A batch with other columns is refused.
     """
     spark = df.sparkSession
     if not table_exists(spark, path, fmt):
         overwrite_table(df, path, partitions, fmt)
         return "created"
-    fresh = unmatched(df, read_table(spark, path, fmt), keys)
+    target = read_table(spark, path, fmt)
+    check_columns(df, target, partitions)
+    fresh = unmatched(df, target, keys)
     _writer(fresh.select(*df.columns), partitions, fmt, "append").save(path)
     return "merged"
 
 
+def bucket_spec(spark: SparkSession, name: str) -> tuple[int, str]:
+    """Number of buckets and bucket column of a catalog table."""
+    facts = {r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE TABLE EXTENDED {name}").collect()}
+    if "Num Buckets" not in facts:
+        raise ValueError(f"{name} is not bucketed")
+    return int(facts["Num Buckets"]), facts["Bucket Columns"].strip("[]`")
+
+
+def write_bucketed(
+    df: DataFrame,
+    name: str,
+    path: str | None = None,
+    keys: Sequence[str] = MERGE_KEYS,
+    buckets: int = BUCKETS,
+    bucket_key: str = BUCKET_KEY,
+) -> str:
+    """Create the catalog table ``name`` in buckets, or append the rows whose key it does not hold yet.
+
+    For targets too large to be shuffled, even by their keys alone, for each
+    delivery. ``bucket_key`` is one of ``keys`` and should have many values: rows
+    that share one lie in one bucket, though in several files if there are many.
+    An existing table keeps its own number of buckets.
+    """
+    spark = df.sparkSession
+    if not spark.catalog.tableExists(name):
+        writer = df.hint("rebalance", buckets, bucket_key).write.format("parquet").option("compression", "snappy")
+        if path:
+            writer = writer.option("path", path)
+        writer.bucketBy(buckets, bucket_key).sortBy(bucket_key).saveAsTable(name)
+        return "created"
+    buckets, bucket_key = bucket_spec(spark, name)
+    target = spark.table(name)
+    check_columns(df, target)
+    fresh = unmatched_bucketed(df, target, keys, bucket_key).select(*target.columns)
+    fresh.hint("rebalance", buckets, bucket_key).write.insertInto(name)
+    return "merged"
+
+
+def attach_bucketed(
+    spark: SparkSession, name: str, path: str, buckets: int = BUCKETS, bucket_key: str = BUCKET_KEY
+) -> None:
+    """Enter a folder that :func:`write_bucketed` filled in the catalog of another session."""
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in spark.read.parquet(path).schema)
+    spark.sql(
+        f"CREATE TABLE {name} ({columns}) USING parquet CLUSTERED BY (`{bucket_key}`) SORTED BY (`{bucket_key}`)"
+        f" INTO {buckets} BUCKETS LOCATION '{path}'"
+    )
+
+
 def write_silver(
     df: DataFrame, path: str, partitions: Sequence[str] = V.SILVER_PARTITIONS, fmt: str = "parquet"
 ) -> None:
