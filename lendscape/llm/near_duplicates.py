@@ -248,19 +248,22 @@ def near_duplicates(docs: DataFrame, width: int = 5, limit_pct: int = LIMIT_PCT,
     """``doc_id, n_shingles, component_id, kept`` per row of ``docs``."""
     own = docs.select(F.col(doc_id).cast("long").alias("doc_id"), text_of(F.col(text)).alias("text"))
     rows = keep(sketch_documents(own, width), "sketches")
-    # The class's row with the smallest id stands for all rows with the same words.
+    # The class's row with the smallest id stands for all rows with the same words. Classes are
+    # numbered, because an id that repeats with other words may be the smallest of several.
     first = F.min(F.struct(F.isnull("doc_id").alias("no_id"), "doc_id", "n", "registers")).alias("x")
     nodes = rows.where("n > 0").groupBy("digest").agg(first).where("x.doc_id is not null")
-    nodes = keep(nodes.select(F.col("x.doc_id").alias("node"), "digest", F.col("x.n").alias("n"), F.col("x.registers").alias("registers")), "classes")
+    numbered = nodes.withColumn("node", F.monotonically_increasing_id())
+    nodes = keep(numbered.select("node", F.col("x.doc_id").alias("smallest"), "digest", F.col("x.n").alias("n"), F.col("x.registers").alias("registers")), "classes")
     spread = nodes.select("node", F.explode(band_keys(F.col("registers"))).alias("key"))
     buckets = spread.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low < high")
     members = keep(spread.join(buckets.select("key").hint("merge"), "key").withColumn("component", F.col("node")), "members")
     involved = keep(members.select("node").distinct(), "involved")
     # How many are involved has no bound: these joins never broadcast.
     part = keep(nodes.join(involved.hint("merge"), "node"), "involved-sketches")
-    texts = own.join(involved.hint("shuffle_hash"), own["doc_id"] == involved["node"], "left_semi")
-    sets = shingle_sets(texts, width).join(part.select(F.col("node").alias("doc_id"), "digest"), ["doc_id", "digest"])
-    sets = keep(sets.dropDuplicates(["doc_id"]).select(F.col("doc_id").alias("node"), "members"), "sets")
+    ids = part.select(F.col("smallest").alias("doc_id"), "digest", "node")
+    texts = own.join(ids.select("doc_id").hint("shuffle_hash"), "doc_id", "left_semi")
+    sets = shingle_sets(texts, width).join(ids, ["doc_id", "digest"])
+    sets = keep(sets.dropDuplicates(["node"]).select("node", "members"), "sets")
 
     limit, tested, links, labels = limit_pct / 100, None, None, None
     left = members
@@ -285,7 +288,9 @@ def near_duplicates(docs: DataFrame, width: int = 5, limit_pct: int = LIMIT_PCT,
         if left.isEmpty():
             break
 
-    names = nodes.select("digest", "node").join(labels, "node", "left").select("digest", F.coalesce("component", "node").alias("component_id"))
+    names = nodes.select("digest", "node", "smallest").join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    least = names.groupBy("component").agg(F.min("smallest").alias("component_id"))
+    names = names.join(least.hint("merge"), "component").select("digest", "component_id")
     joined = rows.select("doc_id", "digest", "n").join(names.hint("merge"), "digest", "left")
     component = F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("component_id"))
     return joined.select(
