@@ -124,9 +124,10 @@ def strict_failed(q: Column) -> Column:
 def host_rates(measured: DataFrame, quality: str, host: str = "source") -> DataFrame:
     """Shrunk failure rate of every host and rule: ``host, n_docs, rule, n_failed, rate``.
 
-    The beta prior of a rule comes from the hosts' own rates by the method of
-    moments. Hosts that all agree, or a single host, give no spread to fit; the
-    prior then weighs as much as a thousand documents.
+    The beta prior of a rule comes from the hosts' counts by the method of
+    moments, hosts weighted by their documents. What chance alone spreads the
+    rates of hosts is taken off first; where no spread is left, the prior weighs
+    as much as a thousand documents.
     """
     failed = rules(F.col(quality))
     counts = (
@@ -135,9 +136,17 @@ def host_rates(measured: DataFrame, quality: str, host: str = "source") -> DataF
         .select("host", "n_docs", F.explode(F.map_from_arrays(F.array(*map(F.lit, RULES)), F.array(*RULES))).alias("rule", "n_failed"))
     )
     counts = keep(counts, "host-counts")
-    rate = F.col("n_failed") / F.col("n_docs")
-    prior = counts.groupBy("rule").agg(F.avg(rate).alias("mean"), F.var_samp(rate).alias("spread"))
-    weight = F.when(F.col("spread") > 0, F.col("mean") * (1 - F.col("mean")) / F.col("spread") - 1)
+    n, f = F.col("n_docs").cast("double"), F.col("n_failed").cast("double")
+    sums = counts.groupBy("rule").agg(
+        F.count(F.lit(1)).alias("k"), F.sum(n).alias("n"), F.sum(n * n).alias("nn"), F.sum(f).alias("f"), F.sum(f * f / n).alias("ff")
+    )
+    # Weighted squares of the rates' distances from the mean: (k - 1) p q by chance, the rest by a correlation within hosts.
+    common = sums.withColumn("mean", F.col("f") / F.col("n"))
+    chance = F.col("k") - 1
+    excess = F.try_divide(F.col("ff") - F.col("f") * F.col("mean"), F.col("mean") * (1 - F.col("mean"))) - chance
+    within = F.try_divide(excess, F.col("n") - F.col("nn") / F.col("n") - chance)
+    prior = common.withColumn("within", within)
+    weight = F.when(F.col("within") > 0, 1 / F.col("within") - 1)
     prior = prior.select(
         F.col("rule").alias("prior_rule"), "mean", F.greatest(F.lit(1.0), F.least(F.lit(1000.0), F.coalesce(weight, F.lit(1000.0)))).alias("weight")
     )
@@ -219,11 +228,17 @@ h AS (
   SELECT source, count(*) AS n, unnest([count(*) FILTER (f1), count(*) FILTER (f2), count(*) FILTER (f3),
          count(*) FILTER (f4), count(*) FILTER (f5)]) AS f, unnest([1, 2, 3, 4, 5]) AS rule
   FROM r GROUP BY source),
-p AS (
-  SELECT rule, avg(f / n) AS mean,
-         greatest(1.0, least(1000.0, coalesce(CASE WHEN var_samp(f / n) > 0
-           THEN avg(f / n) * (1 - avg(f / n)) / var_samp(f / n) - 1 END, 1000.0))) AS weight
+u AS (
+  SELECT rule, count(*) AS k, sum(CAST(n AS DOUBLE)) AS n, sum(CAST(n AS DOUBLE) * n) AS nn, sum(CAST(f AS DOUBLE)) AS f,
+         sum(CAST(f AS DOUBLE) * f / n) AS ff
   FROM h GROUP BY rule),
+v AS (
+  SELECT rule, f / n AS mean,
+         ((ff - f * (f / n)) / nullif((f / n) * (1 - f / n), 0) - (k - 1)) / nullif(n - nn / n - (k - 1), 0) AS within
+  FROM u),
+p AS (
+  SELECT rule, mean, greatest(1.0, least(1000.0, coalesce(CASE WHEN within > 0 THEN 1 / within - 1 END, 1000.0))) AS weight
+  FROM v),
 bad AS (SELECT source FROM h JOIN p USING (rule) GROUP BY source HAVING max((f + mean * weight) / (n + weight)) > 0.5)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, f1 OR f2 AS base_failed,
        NOT (f1 OR f2) AND NOT (b AND (f3 OR f4 OR f5)) AS kept, b AS host_rejected
