@@ -16,6 +16,7 @@ nothing; an empty table gives an empty result and leaves the ledger as it is.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 from hashlib import sha256
 
@@ -64,11 +65,16 @@ def rule_version(rule: Rule) -> str:
     return sha256(repr(rule).encode()).hexdigest()[:16]
 
 
+def _bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with ``value`` computed once, though lambdas inside refer to it."""
+    return F.get(F.transform(F.array(value), use), 0)
+
+
 def _spans(text: Column, rule: Rule, rank: int) -> Column:
     matches = F.regexp_extract_all(text, F.lit(rule.pattern), F.lit(0))
     measured = F.regexp_extract_all(text, F.lit(rule.pattern), F.lit(rule.group)) if rule.group else matches
     pairs = F.arrays_zip(F.split(text, rule.pattern).alias("gap"), matches.alias("hit"), measured.alias("part"))
-    start = F.struct(F.lit(0).alias("at"), F.array().cast(SPAN).alias("found"))
+    none = F.array().cast(SPAN)
 
     def step(state: Column, pair: Column) -> Column:
         begin = state["at"] + F.length(pair["gap"])
@@ -80,7 +86,22 @@ def _spans(text: Column, rule: Rule, rank: int) -> Column:
             F.when(good, F.concat(state["found"], F.array(span))).otherwise(state["found"]).cast(SPAN).alias("found"),
         )
 
-    return F.when(text.rlike(rule.pattern), F.aggregate(pairs, start, step)["found"]).otherwise(F.array().cast(SPAN))
+    def in_blocks(p: Column) -> Column:
+        """Pairs by blocks, as an array that grows is copied at each step: only one of a block's length is."""
+        n = F.size(p)
+        width = F.greatest(F.lit(8), F.ceil(F.cbrt(n))).cast("int")
+        block = lambda b: F.sequence(b * width, F.least((b + 1) * width, n) - 1)
+        size = lambda s, i: s + F.length(F.get(p, i)["gap"]) + F.coalesce(F.length(F.get(p, i)["hit"]), F.lit(0))
+        sizes = F.transform(F.sequence(F.lit(0), F.floor((n - 1) / width).cast("int")), lambda b: F.aggregate(block(b), F.lit(0), size))
+
+        def placed(t: Column) -> Column:
+            ahead = lambda b: F.aggregate(F.filter(t, lambda x, j: j < b), F.lit(0), lambda s, x: s + x)
+            start = lambda b: F.struct(ahead(b).alias("at"), none.alias("found"))
+            return F.flatten(F.transform(t, lambda x, b: F.aggregate(block(b), start(b), lambda s, i: step(s, F.get(p, i)))["found"]))
+
+        return _bound(sizes, placed)
+
+    return F.when(text.rlike(rule.pattern), _bound(pairs, in_blocks)).otherwise(none)
 
 
 def spans_of(text: Column, rules: tuple[Rule, ...] = RULES) -> Column:
