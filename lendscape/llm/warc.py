@@ -22,6 +22,7 @@ import hashlib
 import uuid
 import zlib
 from collections.abc import Iterable, Iterator
+from urllib.parse import quote, unquote
 
 import pyarrow as pa
 from pyarrow import fs
@@ -40,18 +41,26 @@ INDEX = "page_id long, url string, digest string, record_type string, refers_to
 RECORD = "page_id long, url string, record_type string, refers_to long, digest string, payload_bytes long, payload binary"
 
 
-def _record(page_id, url, digest, refers_to, payload: bytes, date: str) -> bytes:
+def _address(url: str) -> str:
+    """A line end, which no valid URL holds, would end the header; all else stays as it is."""
+    return url.replace("\r", "%0D").replace("\n", "%0A")
+
+
+def _record(page_id, url, digest, refers_to, refers_url, payload: bytes, date: str) -> bytes:
     revisit = refers_to is not None
     http = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: %d\r\n\r\n" % len(payload)
     block = http if revisit else http + payload
     head = ["WARC/1.1", f"WARC-Type: {'revisit' if revisit else 'response'}", f"WARC-Record-ID: <urn:uuid:{uuid.uuid4()}>", f"WARC-Date: {date}"]
     if url is not None:
-        # A line end inside a URL would end the header.
-        head.append("WARC-Target-URI: " + url.replace("%", "%25").replace("\r", "%0D").replace("\n", "%0A"))
+        head.append("WARC-Target-URI: " + _address(url))
+        if url != _address(url):
+            head.append("X-Url: " + quote(url, safe=""))
     if page_id is not None:
         head.append(f"X-Page-Id: {page_id}")
     if revisit:
-        head += [f"WARC-Profile: {REVISIT_PROFILE}", f"X-Refers-To-Page-Id: {refers_to}"]
+        head += [f"WARC-Profile: {REVISIT_PROFILE}", f"X-Refers-To-Page-Id: {refers_to}", f"WARC-Refers-To-Date: {date}"]
+        if refers_url is not None:
+            head.append("WARC-Refers-To-Target-URI: " + _address(refers_url))
     head += [f"WARC-Payload-Digest: sha256:{digest}", "Content-Type: application/http; msgtype=response", f"Content-Length: {len(block)}"]
     return "\r\n".join(head).encode() + b"\r\n\r\n" + block + b"\r\n\r\n"
 
@@ -76,7 +85,7 @@ def parse_record(raw: bytes) -> dict:
     number = lambda k: int(headers[k]) if k in headers else None
     return {
         "page_id": number("X-Page-Id"),
-        "url": None if url is None else url.replace("%0A", "\n").replace("%0D", "\r").replace("%25", "%"),
+        "url": unquote(headers["X-Url"]) if "X-Url" in headers else url,
         "record_type": headers["WARC-Type"],
         "refers_to": number("X-Refers-To-Page-Id"),
         "digest": digest,
@@ -100,10 +109,10 @@ def write_archives(
         F.sha2(body.cast("binary"), 256).alias("digest"),
     )
     large = rows.where(F.octet_length("body") >= least)
-    shared = large.groupBy("digest").agg(F.min("page_id").alias("first"), F.count(F.lit(1)).alias("n"))
-    shared = keep(shared.where((F.col("n") > 1) & F.col("first").isNotNull()).select("digest", "first"), "shared-payloads")
+    shared = large.groupBy("digest").agg(F.min("page_id").alias("first"), F.min_by("url", "page_id").alias("first_url"), F.count(F.lit(1)).alias("n"))
+    shared = keep(shared.where((F.col("n") > 1) & F.col("first").isNotNull()).select("digest", "first", "first_url"), "shared-payloads")
     tagged = rows.join(shared, "digest", "left").select(
-        "page_id", "url", "digest", F.when(~F.col("page_id").eqNullSafe(F.col("first")), F.col("first")).alias("refers_to"),
+        "page_id", "url", "digest", F.when(~F.col("page_id").eqNullSafe(F.col("first")), F.col("first")).alias("refers_to"), "first_url",
         F.col("body").cast("binary").alias("body"),
     )
     store = f"{folder}/archives"
@@ -117,14 +126,14 @@ def write_archives(
         try:
             for batch in batches:
                 index = []
-                for page, link, digest, refers, data in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                for page, link, digest, refers, refers_link, data in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                     if out is None or offset >= file_bytes:
                         if out is not None:
                             out.close()
                         name, offset = f"{uuid.uuid4().hex}.warc.gz", 0
                         out = files.open_output_stream(f"{root}/{name}", compression=None)
                     packer = zlib.compressobj(3, zlib.DEFLATED, 31)
-                    member = packer.compress(_record(page, link, digest, refers, data, date)) + packer.flush()
+                    member = packer.compress(_record(page, link, digest, refers, refers_link, data, date)) + packer.flush()
                     out.write(member)
                     index.append(
                         {"page_id": page, "url": link, "digest": digest, "record_type": "response" if refers is None else "revisit",
