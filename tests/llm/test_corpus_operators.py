@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import gzip
 import hashlib
 import random
 import re
+import time
 from itertools import combinations
 
 import corpus_pipeline
@@ -71,6 +73,29 @@ def test_host_verdict_reaches_documents(spark):
     assert 1000 in kept and 1001 not in kept and 9000 in kept and 9001 not in kept
 
 
+def test_prior_shrinks_hosts_of_one_document(spark):
+    good = " ".join(f"word{i}" for i in range(40))
+    rows = [(i, good.replace(" ", "# ") if i < 20 else good, f"h{i}") for i in range(200)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    assert quality_rules.filter_quality(docs).count() == 200
+    measured, name = quality_rules.measure(docs)
+    rates = quality_rules.host_rates(measured, name).where("rule = 'symbols'")
+    assert rates.agg({"rate": "max"}).first()[0] < 0.11
+
+
+def test_prior_finds_the_spread_of_hosts(spark):
+    good = " ".join(f"word{i}" for i in range(40))
+    rng = random.Random(5)
+    rates = {f"h{h}": rng.betavariate(2, 6) for h in range(80)}  # a prior that weighs eight documents
+    rows = [(0, good.replace(" ", "# ") if rng.random() < rates[h] else good, h) for h in rates for _ in range(100)]
+    measured, name = quality_rules.measure(spark.createDataFrame(rows, "doc_id long, text string, source string"))
+    got = quality_rules.host_rates(measured, name).where("rule = 'symbols'").collect()
+    n, f, rate = 100, max(r["n_failed"] for r in got), max(r["rate"] for r in got)
+    common = sum(r["n_failed"] for r in got) / (n * len(got))
+    weight = (f - n * rate) / (rate - common)
+    assert 4 < weight < 16
+
+
 def test_secret_ledger_scans_each_blob_once(spark, odd, empty):
     ledger = new_path(spark, "ledger")
     found = secret_scan.scan_versions(odd, "doc_id", "text", ledger)
@@ -97,6 +122,16 @@ def test_secret_spans_against_brute_force(spark):
         assert got[i] == [(s, kind, e) for _, _, s, e, kind in sorted(want)]
 
 
+def test_secret_spans_of_a_dump(spark):
+    text = "\n".join(f"{i:032x} {'token=' if i % 3 else 'é'}{i:06d}" for i in range(20_000))
+    docs = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    begun = time.monotonic()
+    got = docs.select(secret_scan.spans_of(docs["text"], secret_scan.BASE_RULES).alias("s")).first()["s"]
+    assert time.monotonic() - begun < 10  # arrays that grow hit by hit took 28 s
+    want = [(m.start(), k, m.end()) for k, x in enumerate(secret_scan.BASE_RULES) for m in re.finditer(x.pattern, text) if len(m[x.group]) >= x.least]
+    assert [(s["start"], s["rank"], s["end"]) for s in got] == sorted(want) and len(want) > 33_000
+
+
 def test_line_chunks_edges(odd, empty):
     cleaned, name = line_chunks.remove_repeats(odd)
     rows = cleaned.collect()
@@ -211,6 +246,14 @@ def test_near_duplicates_against_brute_force(spark):
     assert {i: r["n_shingles"] for i, r in got.items()} == {i: len(s) for i, s in enumerate(sets)}
 
 
+def test_near_duplicates_of_ids_with_several_texts(spark):
+    a, b = ([f"{x}{i}" for i in range(60)] for x in "ab")
+    near = lambda w: " ".join([*w[:-1], "end"])
+    rows = [(1, " ".join(a)), (2, " ".join(b)), (5, near(a)), (5, near(b)), (5, "alone"), (6, "alone")]
+    got = nd.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), width=2).collect()
+    assert sorted((r["doc_id"], r["component_id"]) for r in got) == [(1, 1), (2, 2), (5, 1), (5, 2), (5, 5), (6, 5)]
+
+
 def test_near_duplicate_edges(odd, empty):
     rows = nd.near_duplicates(odd).collect()
     assert len(rows) == odd.count() and sum(r["component_id"] == 1 for r in rows) == 5
@@ -264,6 +307,17 @@ def test_warc_round_trip(spark):
     assert warc.write_archives(df.limit(0), new_path(spark, "warc")).count() == 0
 
 
+def test_addresses_stay_for_other_readers(spark):
+    page = "<p>text</p>" * 20
+    pages = [(1, "http://a/b%20c", page), (2, "http://a/d", page)]
+    folder = new_path(spark, "warc")
+    warc.write_archives(spark.createDataFrame(pages, "page_id long, url string, html string"), folder)
+    files = spark.read.format("binaryFile").load(f"{folder}/archives").collect()
+    raw = b"".join(gzip.decompress(f["content"]) for f in files).decode()  # gzip reads member after member
+    assert "WARC-Target-URI: http://a/b%20c\r\n" in raw and raw.count("WARC-Refers-To-Target-URI: http://a/b%20c\r\n") == 1
+    assert raw.count("WARC-Refers-To-Date: ") == 1
+
+
 def test_ranges_coalesce():
     got = list(warc.ranges([("a", 0, 10), ("a", 10, 10), ("a", 500, 10), ("b", 0, 5)], gap=100, most=1000))
     assert [(f, s, e, len(m)) for f, s, e, m in got] == [("a", 0, 20, 2), ("a", 500, 510, 1), ("b", 0, 5, 1)]
