@@ -7,9 +7,10 @@ the tightest bin that is large enough and goes on to its successors until one
 holds neither the document's source nor its cluster; without one, a bin is
 opened. Documents longer than a bin fill whole bins first; their rest is packed.
 
-Only ids, sources, cluster hashes and lengths are shuffled. A shard that turns
-out larger than ``most`` starts over with no open bins, so memory stays bounded
-whatever the hash deals.
+Only ids, sources, cluster hashes and lengths are shuffled. Shards are counted
+before they are packed: one that was dealt over twice its size (repeated rows
+share their hash) is dealt again by row number, so memory stays bounded and no
+shard ever starts over.
 
 Defined cases: a NULL text is a document of length 0, which takes room in the
 tightest bin that allows it; a NULL source is a source of its own; repeated rows
@@ -72,27 +73,36 @@ class Bins:
         yield piece, *self.place(length, source, cluster), length
 
 
-def pack(items: DataFrame, capacity: int = CAPACITY, shard: int = SHARD) -> DataFrame:
-    """``doc_id, piece, bin, start, length`` for ``items`` (``doc_id, source, cluster, length``), a written table."""
+def deal(items: DataFrame, shard: int = SHARD) -> DataFrame:
+    """``items`` with ``shard``: by hash, and by ``row`` as well where the hash alone deals too many.
+
+    Rows of an ordinary shard keep it whatever their numbers; the number only tells repeated rows apart.
+    """
     shards = max(1, -(-items.count() // shard))
+    dealt = items.withColumn("shard", F.pmod(F.xxhash64("doc_id", "cluster"), F.lit(shards)).cast("long"))
+    counts = dealt.groupBy("shard").agg(F.count(F.lit(1)).alias("n"))
+    parts = keep(counts.where(F.col("n") > 2 * shard).select("shard", F.ceil(F.col("n") / shard).alias("parts")), "parts")
+    part = F.coalesce(F.pmod(F.xxhash64("row"), F.col("parts")), F.lit(0))
+    return dealt.join(parts, "shard", "left").withColumn("shard", F.col("shard") + part * F.lit(shards)).drop("parts")
+
+
+def pack(items: DataFrame, capacity: int = CAPACITY, shard: int = SHARD) -> DataFrame:
+    """``doc_id, piece, bin, start, length`` for ``items`` (``doc_id, source, cluster, length, row``), a written table."""
+    dealt = deal(items, shard)
     names = pa.schema([("doc_id", pa.int64()), ("piece", pa.int32()), ("bin", pa.int64()), ("start", pa.int32()), ("length", pa.int32())])
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        current, bins, seen = None, None, 0
+        current, bins = None, None
         for batch in batches:
             out = []
             for number, doc, source, cluster, length in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if number != current:
-                    current, bins, seen = number, Bins(capacity), 0
-                elif seen >= 2 * shard:
-                    bins, seen = Bins(capacity, bins.next), 0
-                seen += 1
+                    current, bins = number, Bins(capacity)
                 for piece, at, start, size in bins.place_all(length, source, cluster):
                     out.append((doc, piece, (number << 32) + at, start, size))
             columns = zip(*out, strict=True) if out else [[]] * len(names)
             yield pa.RecordBatch.from_arrays([pa.array(list(c), f.type) for c, f in zip(columns, names, strict=True)], schema=names)
 
-    dealt = items.withColumn("shard", F.pmod(F.xxhash64("doc_id", "cluster"), F.lit(shards)).cast("long"))
     dealt = dealt.repartition("shard").sortWithinPartitions("shard", F.desc("length"), "doc_id", "source", "cluster")
     return dealt.select("shard", "doc_id", "source", "cluster", "length").mapInArrow(run, RESULT)
 
@@ -103,6 +113,7 @@ def pack_documents(docs: DataFrame, capacity: int = CAPACITY, shard: int = SHARD
     items = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"),
         F.xxhash64(text).alias("cluster"), F.size(words_of(text)).alias("length"),
+        F.monotonically_increasing_id().alias("row"),
     )
     return pack(keep(items, "lengths"), capacity, shard)
 

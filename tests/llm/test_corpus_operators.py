@@ -420,7 +420,7 @@ def test_wrapped_and_several_licences(spark):
 def test_packing_rules(spark, odd, empty):
     rng = random.Random(5)
     rows = [(i, f"s{rng.choice([0, 0, 0, 1, 2, 3])}", rng.randrange(40), rng.choice([0, 5, 30, 100, 250])) for i in range(500)]
-    items = spark.createDataFrame(rows, "doc_id long, source string, cluster long, length int")
+    items = spark.createDataFrame(rows, "doc_id long, source string, cluster long, length int").selectExpr("*", "doc_id as row")
     got = packing.pack(items, capacity=100, shard=64).collect()
     by = {r[0]: r for r in rows}
     assert {d: sum(r["length"] for r in got if r["doc_id"] == d) for d in by} == {d: r[3] for d, r in by.items()}
@@ -442,6 +442,31 @@ def test_tightest_compatible_bin():
     assert [bins.place(7, "a", 1), bins.place(6, "b", 2), bins.place(3, "a", 3), bins.place(3, "c", 4), bins.place(1, "b", 5)] == [(0, 0), (1, 0), (1, 6), (0, 7), (2, 0)]
 
 
+def test_best_fit_equals_brute_force():
+    rng = random.Random(8)
+    bins, held = packing.Bins(50), []  # per bin: free space, sources, clusters
+    for _ in range(3000):
+        length, source, cluster = rng.randrange(51), rng.choice([None, *"aaabcdef"]), rng.randrange(60)
+        fits = [(room, b) for b, (room, s, c) in enumerate(held) if room >= length and source not in s and cluster not in c]
+        room, expected = min(fits, default=(50, len(held)))
+        if expected == len(held):
+            held.append((50, set(), set()))
+        held[expected] = (room - length, held[expected][1] | {source}, held[expected][2] | {cluster})
+        assert bins.place(length, source, cluster) == (expected, 50 - room)
+
+
+def test_repeated_rows_are_dealt_again(spark):
+    items = spark.range(3000).selectExpr(
+        "if(id < 1000, 7L, id) as doc_id", "'s' as source", "if(id < 1000, 7L, id) as cluster", "int(id % 9) as length", "id as row"
+    )
+    dealt = packing.deal(items, shard=64)
+    sizes = dealt.groupBy("shard").count()
+    assert dealt.count() == 3000 and sizes.agg({"count": "max"}).first()[0] <= 128
+    assert dealt.where("doc_id = 7").select("shard").distinct().count() >= 1000 // 64
+    got = packing.pack(items, capacity=100, shard=64)
+    assert got.count() == 3000 == got.select("bin").distinct().count()  # one source: a bin each
+
+
 def test_mixture_passes_shortage_to_siblings_first(spark):
     leaves = [("x", "en", "a", 10), ("x", "en", "b", 1000), ("x", "de", "c", 1000), ("y", "en", "d", 1000)]
     df = spark.createDataFrame(leaves, "domain string, lang string, source string, tokens long").selectExpr("*", "1200L as b")
