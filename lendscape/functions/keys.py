@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from hashlib import sha256
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -31,6 +32,20 @@ def masked_id(column: str, salt: str) -> Column:
     return F.sha2(F.concat(F.lit(salt), F.col(column)), 256)
 
 
+def hmac_sha256(text: Column, inner: Column, outer: Column) -> Column:
+    """Keyed hash of a text as hex digits, from the two padded keys (:func:`hmac_pads`); NULL stays NULL."""
+    first = F.unhex(F.sha2(F.concat(inner, F.encode(text, "utf-8")), 256))
+    return F.sha2(F.concat(outer, first), 256)
+
+
+def hmac_pads(key: bytes) -> tuple[bytes, bytes]:
+    """The key padded to a block of SHA-256, for the inner and the outer hash."""
+    if len(key) > 64:
+        key = sha256(key).digest()
+    block = key.ljust(64, b"\0")
+    return bytes(b ^ 0x36 for b in block), bytes(b ^ 0x5C for b in block)
+
+
 def padded_key(prefix: str, number: Column) -> Column:
     """``CUST00000001``; numbers longer than eight digits keep all of them."""
     digits = number.cast("string")

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import features as X
-from .group_means import attach_group_means
+from .group_means import attach_group_means, attach_means
 
 # features only the full profile has
 FULL_ONLY = ("credit_experience", "credit_deterioration", "application_day_of_week", "application_season")
@@ -43,15 +43,18 @@ def engineer_time_features(df: DataFrame, as_of=None, vintage: str = "calendar")
     return df.withColumns(X.time(as_date(as_of), vintage))
 
 
-def add_statistical_features(df: DataFrame) -> DataFrame:
-    """Means per purpose and per city tier on every row, and the deviation from them."""
-    df = attach_group_means(
-        df,
-        {
-            "loan_purpose": {"avg_amount_by_purpose": "loan_amount", "avg_dpd_by_purpose": "current_dpd"},
-            "city_tier": {"avg_income_by_tier": "monthly_income"},
-        },
-    )
+PORTFOLIO_MEANS = {
+    "loan_purpose": {"avg_amount_by_purpose": "loan_amount", "avg_dpd_by_purpose": "current_dpd"},
+    "city_tier": {"avg_income_by_tier": "monthly_income"},
+}
+
+
+def add_statistical_features(df: DataFrame, totals: DataFrame | None = None) -> DataFrame:
+    """Means per purpose and per city tier on every row, and the deviation from them.
+
+    Kept ``totals`` save the pass over all rows, see :mod:`lendscape.sources.totals`.
+    """
+    df = attach_group_means(df, PORTFOLIO_MEANS) if totals is None else attach_means(df, totals, PORTFOLIO_MEANS)
     mean = F.col("avg_amount_by_purpose")
     return df.withColumn("amount_deviation_pct", F.try_divide(F.col("loan_amount") - mean, mean) * 100)
 

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import fixed_values as V
-from ..functions.keys import masked_id, unit_hash
+from ..functions.keys import hmac_pads, hmac_sha256, masked_id, unit_hash
+from ..session import keep
 
 
 def select_as(df: DataFrame, names: dict[str, str]) -> DataFrame:
@@ -63,6 +64,49 @@ def mask_customers(df: DataFrame, salt: str, column: str = "customer_id") -> Dat
     return df.withColumn(column, masked_id(column, salt))
 
 
+def _pads(spark: SparkSession, keys: Mapping[int, bytes], versions: Iterable[int]) -> DataFrame:
+    """``key_version, _inner, _outer``: a row per key, so that no plan or event log prints a key."""
+    rows = [(v, *map(bytearray, hmac_pads(keys[v]))) for v in versions]
+    return spark.createDataFrame(rows, "key_version int, _inner binary, _outer binary")
+
+
+def pseudonymize(
+    df: DataFrame, keys: Mapping[int, bytes], column: str = "customer_id", version: int | None = None
+) -> DataFrame:
+    """Replace ``column`` by its HMAC-SHA256 under a key and add ``key_version``.
+
+    A salted hash of an eight-digit number is found by trying all numbers; without the
+    key that isn't possible here. Equal values under one key stay equal, so tables
+    masked alike still join. The newest key counts unless ``version`` names another.
+    """
+    version = max(keys) if version is None else version
+    pads = _pads(df.sparkSession, keys, [version])
+    masked = df.withColumn("key_version", F.lit(version)).join(F.broadcast(pads), "key_version", "left")  # one row
+    masked = masked.withColumn(column, hmac_sha256(F.col(column).cast("string"), F.col("_inner"), F.col("_outer")))
+    return masked.select(*df.columns, "key_version")
+
+
+def key_rotation(
+    source: DataFrame, keys: Mapping[int, bytes], old: int, new: int, column: str = "customer_id"
+) -> DataFrame:
+    """``old_id, new_id, key_version``: pseudonyms of every value of ``source`` under both keys, a written table.
+
+    As secret as the keys: whoever holds it can follow a person across versions.
+    """
+    values = source.select(F.col(column).cast("string").alias("old_id")).where(F.col("old_id").isNotNull()).distinct()
+    pairs = pseudonymize(values.withColumn("new_id", F.col("old_id")), keys, "old_id", old).drop("key_version")
+    return keep(pseudonymize(pairs, keys, "new_id", new), "rotation")
+
+
+def rotate_pseudonyms(df: DataFrame, rotation: DataFrame, column: str = "customer_id") -> DataFrame:
+    """Move stored pseudonyms to the new key; a value that ``rotation`` doesn't know keeps its old one."""
+    moved = rotation.select(F.col("old_id").alias(column), "new_id", F.col("key_version").alias("_version"))
+    joined = df.join(moved, column, "left")
+    return joined.withColumns(
+        {column: F.coalesce("new_id", column), "key_version": F.coalesce("_version", "key_version")}
+    ).select(*df.columns)
+
+
 def head_rows(df: DataFrame, order: Sequence[Column | str], rows: int) -> DataFrame:
     """First rows in a stated order: each task keeps only its own best few."""
     return df.orderBy(*order).limit(rows)

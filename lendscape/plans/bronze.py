@@ -49,7 +49,7 @@ def ingest(
     rows, written = df, None
     if gate == "quarantine":
         rows, rejected = split_quarantine(df, as_of)
-        write_to_bronze(rejected, quarantine, keys=("record_hash",), partitions=(), fmt=fmt)
+        write_to_bronze(rejected, quarantine, keys=("record_hash", CORRUPT_COLUMN), partitions=(), fmt=fmt)
     if passed or gate in ("warn", "quarantine"):
         written = write_to_bronze(rows.drop(CORRUPT_COLUMN), bronze, fmt=fmt)
         if compact:

@@ -291,6 +291,13 @@ report AS (
   UNION ALL SELECT 'weighted avg', sum(precision * support) / sum(support), sum(recall * support) / sum(support),
     sum(f1_score * support) / sum(support), sum(support) FROM per_class)"""
 
+def _pseudonyms(key: bytes, version: int) -> str:
+    """HMAC-SHA256 written out: hash of the outer pad and the hash of the inner pad and the text."""
+    inner, outer = (bytes(b ^ mask for b in key.ljust(64, b"\0")).hex() for mask in (0x36, 0x5C))
+    return f"""{_LOANS} SELECT loan_id, sha256(unhex('{outer}') || unhex(sha256(unhex('{inner}') || encode(customer_id))))
+      AS customer_id, CAST({version} AS INT) AS key_version FROM loans"""
+
+
 ORACLE: dict[str, str] = {
     "segment_risk_profile": f"""{_FEAT}
       SELECT credit_score_bucket, loan_purpose, count(*) AS loans, CAST(sum(loan_amount) AS BIGINT) AS exposure,
@@ -346,6 +353,8 @@ ORACLE: dict[str, str] = {
     "p11_distinct_values": f"{_LOANS} SELECT DISTINCT loan_status FROM loans",
     "p12_bounds": f"""{_LOANS} SELECT min(application_date) AS min_application_date,
       max(application_date) AS max_application_date FROM loans""",
+    "p13_keyed_customers": _pseudonyms(b"second key, in use", 2),
+    "p13_rotated_customers": _pseudonyms(b"second key, in use", 2),
     "p13_masked_customers": f"{_LOANS} SELECT loan_id, sha256('salt-1' || customer_id) AS customer_id FROM loans",
     "q09_quality_report": f"{_DIRTY} {_report('dirty')}",
     "q09_quality_report_clean": f"{_LOANS} {_report('loans')}",
@@ -519,6 +528,9 @@ ORACLE: dict[str, str] = {
         CAST(sum(loan_amount) AS BIGINT) AS amount, round(avg(is_default), 6) AS default_rate
         FROM slotted GROUP BY ALL)
       SELECT * FROM slots WHERE window_end <= (SELECT max(application_date) - 30 FROM loans)""",
+    "st4_late_rows": f"""{_LOANS} SELECT loan_purpose, CAST(count(*) AS BIGINT) AS loans,
+      CAST(sum(loan_amount) AS BIGINT) AS amount, TRUE AS some_late FROM loans GROUP BY loan_purpose""",
+    "st5_merge_after_lost_checkpoint": f"{_HASHED} SELECT loan_id, record_hash, application_date FROM hashed",
     "st5_stream_dedupe": f"{_HASHED} SELECT loan_id, record_hash, application_date FROM hashed",
     "st6_stream_quality": f"{_DIRTY} {_report('dirty', only_failed=True)}",
     "l_pricing_rules": f"""{_LOANS} SELECT loan_id, emi_amount AS emi,
@@ -533,3 +545,4 @@ ORACLE: dict[str, str] = {
     "l09_padded_keys": """SELECT concat('CUST', lpad(CAST(o_custkey AS VARCHAR), 8, '0')) AS customer_id,
       concat('LOAN', lpad(CAST(o_orderkey AS VARCHAR), 8, '0')) AS loan_id FROM orders""",
 }
+ORACLE["st4_windows_after_lost_checkpoint"] = ORACLE["st4_windowed_metrics"]

@@ -25,6 +25,7 @@ from ..sources.derived_loans import AS_OF, dirty_loans, loan_number, loans, loan
 from ..streaming import ingest as stream_ingest
 from ..streaming import metrics as stream_metrics
 from . import gold
+from .silver import read_silver
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 c = F.col
@@ -331,6 +332,21 @@ def p12_bounds(spark, sf):
     return selection.bounds(loans(spark, sf), "application_date")
 
 
+@query
+def p13_keyed_customers(spark, sf):
+    keys = {1: b"first key of the portfolio", 2: b"second key, in use"}
+    return selection.pseudonymize(loans(spark, sf), keys).select("loan_id", "customer_id", "key_version")
+
+
+@query
+def p13_rotated_customers(spark, sf):
+    """Loans stored under the first key carry pseudonyms of the second one after rotation."""
+    keys = {1: b"first key of the portfolio", 2: b"second key, in use"}
+    stored = keep(selection.pseudonymize(loans(spark, sf), keys, version=1).select("loan_id", "customer_id", "key_version"), "masked")
+    rotation = selection.key_rotation(loans(spark, sf), keys, old=1, new=2)
+    return selection.rotate_pseudonyms(stored, rotation).select("loan_id", "customer_id", "key_version")
+
+
 @query
 def p13_masked_customers(spark, sf):
     return selection.mask_customers(loans(spark, sf), "salt-1").select("loan_id", "customer_id")
@@ -813,12 +829,18 @@ def loan_stream(spark, sf) -> DataFrame:
     return loans_from(orders, table(spark, sf, "customer"), table(spark, sf, "nation"))
 
 
-def loans_in_pieces(spark, sf) -> DataFrame:
-    """The loans in four files of any dates, one per micro-batch."""
+def pieces(spark, sf) -> str:
+    """The orders in four files of any dates."""
     folder = new_path(spark, "arrivals")
     table(spark, sf, "orders").repartition(4, "o_orderkey").write.parquet(folder)
-    orders = stream_ingest.stream_parquet(spark, folder, files_per_batch=1)
-    return loans_from(orders, table(spark, sf, "customer"), table(spark, sf, "nation"))
+    return folder
+
+
+def loans_in_pieces(spark, sf, folder: str | None = None, files_per_batch: int = 1) -> DataFrame:
+    """The loans of such files, with the file of each."""
+    orders = stream_ingest.stream_parquet(spark, folder or pieces(spark, sf), files_per_batch=files_per_batch)
+    orders = orders.withColumn("origin", c("_metadata.file_path"))
+    return loans_from(orders, table(spark, sf, "customer"), table(spark, sf, "nation"), carry=["origin"])
 
 
 @query
@@ -833,13 +855,13 @@ def st1_stream_ingest(spark, sf):
 
 @query
 def st2_stream_silver(spark, sf):
-    bronze, silver = new_path(spark, "bronze"), new_path(spark, "silver")
+    bronze, silver, totals = (new_path(spark, label) for label in ("bronze", "silver", "totals"))
     tables.write_to_bronze(bronze_frame(loans(spark, sf), "2001-12-30"), bronze)
     for _ in range(2):
         stream = stream_ingest.stream_parquet(spark, bronze)
-        stream_ingest.silver_stream(stream, silver, new_path(spark, "progress"), AS_OF).awaitTermination()
-    rows = features.add_statistical_features(tables.read_table(spark, silver))
-    return rows.select(
+        progress = new_path(spark, "progress")
+        stream_ingest.silver_stream(stream, silver, progress, AS_OF, totals=totals).awaitTermination()
+    return read_silver(spark, silver, totals).select(
         "loan_id", "risk_category", "loan_purpose", "combined_risk_score", "expected_loss_amount",
         "avg_amount_by_purpose", "amount_deviation_pct",
     )
@@ -879,8 +901,38 @@ def st3_streamed_facts(spark, sf):
 @query
 def st4_windowed_metrics(spark, sf):
     """Loans per 30-day window and purpose; the newest windows are still open."""
-    out = new_path(spark, "windows")
-    stream_metrics.collect_windows(loans_in_pieces(spark, sf), out, new_path(spark, "progress")).awaitTermination()
+    return closed_windows(spark, collected(spark, sf, runs=[1]))
+
+
+@query
+def st4_windows_after_lost_checkpoint(spark, sf):
+    """The same files again without the checkpoint, in other batches: every figure stays."""
+    return closed_windows(spark, collected(spark, sf, runs=[1, 3]))
+
+
+@query
+def st4_late_rows(spark, sf):
+    """Rows that came before and after their window was closed add up to all loans."""
+    out = collected(spark, sf, runs=[1, 2])
+    parts = [
+        stream_metrics.read_windows(spark, out, late=late).withColumn("late", F.lit(late)) for late in (False, True)
+    ]
+    return parts[0].unionAll(parts[1]).groupBy("loan_purpose").agg(
+        F.sum("loans").alias("loans"), F.sum("amount").alias("amount"), (F.count_if("late") > 0).alias("some_late")
+    )
+
+
+def collected(spark, sf, runs) -> str:
+    """Window figures after a run for each number of files per batch, none with a checkpoint of the one before."""
+    out, folder = new_path(spark, "windows"), pieces(spark, sf)
+    for files_per_batch in runs:
+        stream = loans_in_pieces(spark, sf, folder, files_per_batch)
+        progress = new_path(spark, "progress")
+        stream_metrics.collect_windows(stream, out, progress, origin="origin").awaitTermination()
+    return out
+
+
+def closed_windows(spark, out) -> DataFrame:
     closed = stream_metrics.read_windows(spark, out, closed_after="30 days")
     return closed.select(
         c("start").cast("date").alias("window_start"),
@@ -903,6 +955,20 @@ def st5_stream_dedupe(spark, sf):
     return spark.read.parquet(out).select("loan_id", "record_hash", "application_date")
 
 
+@query
+def st5_merge_after_lost_checkpoint(spark, sf):
+    """Every loan arrives twice, and all of them again without the checkpoint; each is kept once."""
+    out = new_path(spark, "deduplicated")
+    folder = pieces(spark, sf)
+    for files_per_batch in (1, 3):
+        streams = [loans_in_pieces(spark, sf, folder, files_per_batch) for _ in range(2)]
+        once, again = (files.with_audit(s.drop("origin"), LOAN_COLUMNS, origin="derived") for s in streams)
+        timed = stream_metrics.with_arrival_time(once.unionByName(again))
+        progress = new_path(spark, "progress")
+        stream_metrics.merge_files(stream_metrics.drop_resent(timed), out, progress).awaitTermination()
+    return spark.read.parquet(out).select("loan_id", "record_hash", "application_date")
+
+
 @query
 def st6_stream_quality(spark, sf):
     alerts = new_path(spark, "alerts")

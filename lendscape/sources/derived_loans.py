@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -30,8 +32,8 @@ def loans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return loans_from(*[table(spark, sf_dir, n) for n in ("orders", "customer", "nation")])
 
 
-def loans_from(orders: DataFrame, customer: DataFrame, nation: DataFrame) -> DataFrame:
-    """The 32-column portfolio. ``orders`` may be a stream.
+def loans_from(orders: DataFrame, customer: DataFrame, nation: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
+    """The 32-column portfolio and the columns ``carry`` of ``orders``, which may be a stream.
 
     Customers meet nations first: that side stays small, and Spark decides by
     size whether to broadcast it; a customer with very many orders is split by
@@ -50,6 +52,7 @@ def loans_from(orders: DataFrame, customer: DataFrame, nation: DataFrame) -> Dat
         c("o_orderpriority").alias("pr"),
         c("o_totalprice").alias("tp"),
         c("o_orderdate").cast("date").alias("od"),
+        *carry,
     ).join(holders, "ck")
 
     draw = (c("k") * 31) % 100
@@ -124,7 +127,7 @@ def loans_from(orders: DataFrame, customer: DataFrame, nation: DataFrame) -> Dat
         "ltv_ratio": F.floor(c("amt") * 1e2 / (c("inc") * 12)) / 1e2,
         "dti_ratio": F.floor((c("emi") + c("oemi")) * 1e2 / c("inc")) / 1e2,
     }
-    return base.select(*[columns[name].alias(name) for name in LOAN_COLUMNS])
+    return base.select(*[columns[name].alias(name) for name in LOAN_COLUMNS], *carry)
 
 
 def loan_number(column: str = "loan_id"):
