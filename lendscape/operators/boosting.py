@@ -2,9 +2,9 @@
 
 MLlib judges rounds by loss and can't continue a fitted ensemble. So a booster is
 fitted on few rounds, the AUC of each of its prefixes is measured in one pass over
-the held-out rows, and only while the patience is not used up it is fitted again on
-twice as many. The seed makes the shorter ensemble a prefix of the longer one; what
-is kept is always judged by its own figures.
+the held-out rows, and only if the patience is not used up it is fitted once more, on
+all rounds: never more than the first few are fitted twice. What is kept is always
+judged by its own figures.
 """
 
 from __future__ import annotations
@@ -111,4 +111,4 @@ def boost(train: DataFrame, held_out: DataFrame, booster: GBTClassifier, label:
         kept, done = best_round(aucs, patience)
         if done or rounds >= most:
             return first_rounds(model, kept) if kept < len(aucs) else model
-        rounds = min(most, 2 * rounds)
+        rounds = most

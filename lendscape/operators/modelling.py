@@ -23,6 +23,7 @@ FEATURES_COLUMN = "_features"
 WORK_PREFIX = "_f_"
 VALIDATION_SHARE = 0.1  # of the training rows
 BINS = 64  # split candidates of a number; a category with more values raises it
+TASK_ROWS = 500_000  # training rows of a task
 
 
 def preparation_stages(
@@ -46,6 +47,16 @@ def preparation_stages(
     ]
 
 
+def spread(df: DataFrame, rows: int) -> DataFrame:
+    """``rows`` rows in even partitions that occupy all cores.
+
+    Files of narrow rows hold very many of them: as they are read, a few tasks
+    would do the work of every round.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores * max(1, -(-rows // (cores * TASK_ROWS))))
+
+
 def train_default_model(
     df: DataFrame,
     features: str = "recorded",
@@ -58,10 +69,21 @@ def train_default_model(
 
     Boosting ends when ``V.PATIENCE`` rounds brought no better AUC. No step sees a
     test row. Preparation is fitted on all training rows. Both classes weigh the same.
+    The inputs lie on disk: boosting reads them a few times and keeps its own,
+    smaller copy of binned rows in memory for the rounds.
     """
     shared_folder(df.sparkSession)  # boosting cuts its lineage there every few rounds
     numeric, categorical = feature_lists(features, leak_free)
     train = hash_split(df.where(~F.col("is_test")), share=VALIDATION_SHARE, seed=V.SPLIT_SEED + 1, name="is_validation")
+    train = spread(train.select(V.TARGET, "is_validation", *numeric, *categorical), train.count())
+    train.persist(StorageLevel.DISK_ONLY)
+    try:
+        return _fit(train, numeric, categorical, rounds, depth, unseen)
+    finally:
+        train.unpersist()
+
+
+def _fit(train: DataFrame, numeric, categorical, rounds: int, depth: int, unseen: str) -> PipelineModel:
     prepared = Pipeline(stages=preparation_stages(numeric, categorical, unseen)).fit(train)
     ratio = class_weights(train).where(F.col(V.TARGET) == 1).select("weight").first()
     weight = F.when(F.col(V.TARGET) == 1, F.lit(ratio[0] if ratio else 1.0)).otherwise(F.lit(1.0))
@@ -83,13 +105,7 @@ def train_default_model(
         checkpointInterval=10,
     )
     booster.setProbabilityCol("_probability").setRawPredictionCol("_raw")
-    matrix.persist(StorageLevel.MEMORY_AND_DISK)  # read in every round
-    try:
-        trees = boost(
-            matrix.where(~F.col("is_validation")), matrix.where("is_validation"), booster, V.TARGET, V.PATIENCE
-        )
-    finally:
-        matrix.unpersist()
+    trees = boost(matrix.where(~F.col("is_validation")), matrix.where("is_validation"), booster, V.TARGET, V.PATIENCE)
     return PipelineModel(stages=[*prepared.stages, trees])
 
 

@@ -85,3 +85,15 @@ def test_one_class_keeps_all_rounds(matrix):
     assert boosting.boost(train, held, booster(6, 2), "y", patience=2).getNumTrees == 4
     assert boosting.staged_auc(booster(2, 2).fit(train), held.limit(0), "y") == [None, None]
     assert boosting.staged_auc(booster(2, 2).fit(train), held.withColumn("y", F.lit(None).cast("int")), "y") == [None, None]
+
+
+def test_all_rounds_are_fitted_once(matrix, monkeypatch):
+    fitted = []
+
+    def rising(model, held_out, label):
+        fitted.append(model.getNumTrees)
+        return [k / 100 for k in range(model.getNumTrees)]
+
+    monkeypatch.setattr(boosting, "staged_auc", rising)
+    assert boosting.boost(matrix, matrix, booster(12, 1), "y", patience=1).getNumTrees == 12
+    assert fitted == [2, 12]

@@ -101,3 +101,11 @@ def test_calibration_of_one_probability(spark):
     df = spark.createDataFrame([(1, 0.5), (0, 0.5)], "y int, p double")
     got = {r.bin: (r.actual_default_rate, r["count"]) for r in evaluation.calibrate_probability_bins(df, "y", "p").collect()}
     assert got[5] == (0.5, 2) and all(got[b] == (None, 0) for b in got if b != 5) and len(got) == 10
+
+
+def test_training_rows_occupy_all_cores(spark, monkeypatch):
+    cores, one = spark.sparkContext.defaultParallelism, spark.range(0, 4000, 1, 1)
+    for task_rows, times in ((modelling.TASK_ROWS, 1), (-(-4000 // cores) // 2, 3)):
+        monkeypatch.setattr(modelling, "TASK_ROWS", task_rows)
+        counts = [r["count"] for r in modelling.spread(one, 4000).groupBy(F.spark_partition_id()).count().collect()]
+        assert sum(counts) == 4000 and len(counts) in (cores * times, cores * (times - 1)) and max(counts) <= 2 * min(counts)
