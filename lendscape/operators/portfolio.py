@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import fixed_values as V
+from ..functions.keys import pack, texts, unpack, unpacked
 from .ranks import column_profile, exact_quantiles
 
 
@@ -85,8 +86,8 @@ def segment_profile(df: DataFrame, *keys: str) -> DataFrame:
     )
 
 
-def _one_per_key(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """One row per key that isn't NULL; rows of one key that differ are an error."""
+def _one_per_key(df: DataFrame, keys: Sequence[str], names: Sequence[str]) -> DataFrame:
+    """One row per key that isn't NULL; rows of one key that differ are an error. Keys ``names`` are packed."""
     rest = [n for n in df.columns if n not in keys]
     if not rest:
         return df.distinct()
@@ -95,7 +96,8 @@ def _one_per_key(df: DataFrame, keys: Sequence[str]) -> DataFrame:
         F.first(F.struct(*rest)).alias("_row"),
         (F.min(F.xxhash64(*rest)) == F.max(F.xxhash64(*rest))).alias("_alike"),
     )
-    fault = F.raise_error(F.concat(F.lit(f"several rows for one {', '.join(keys)}: "), F.to_json(F.struct(*keys))))
+    whole_keys = [(unpacked(F.col(k)) if k in names else F.col(k)).alias(k) for k in keys]
+    fault = F.raise_error(F.concat(F.lit(f"several rows for one {', '.join(keys)}: "), F.to_json(F.struct(*whole_keys))))
     checked = found.withColumn("_row", F.when(F.col("_alike"), F.col("_row")).otherwise(fault))
     return checked.select(*keys, *[F.col("_row")[n].alias(n) for n in rest])
 
@@ -107,6 +109,9 @@ def combine_profiles(base: DataFrame, *others: DataFrame, keys: Sequence[str] =
     (``loan_id, record_hash``): rows of one key that differ raise an error, equal
     ones count once. A NULL key meets nothing.
     """
+    # keys that are text on every side move as bytes: a hash takes half the room
+    names = [k for k in texts(base, keys) if all(texts(other, [k]) for other in others)]
+    base = pack(base, names)
     for other in others:
-        base = base.join(_one_per_key(other, keys), list(keys))
-    return base
+        base = base.join(_one_per_key(pack(other, names), keys, names), list(keys))
+    return unpack(base, names)
