@@ -60,6 +60,7 @@ UPPER, LOWER = b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz"
 ENDS = b".,;:!?\x0a\x0b\x0c\x0d"
 NORMAL = bytes.maketrans(UPPER + ENDS + b"\t", LOWER + b"." * len(ENDS) + b" ")
 PRIME, FACTOR = (1 << 31) - 1, 1_103_515_245
+WEIGHTS = np.cumprod(np.full(1 << 10, 0x9E3779B97F4A7C15, np.uint64))  # of a word's bytes; longer words take them again
 
 COUNTS = "lang string, phrase string, n int, h long, c long"
 REACHED = "lang string, phrase string, n int, h long, since int"
@@ -82,17 +83,37 @@ def _bits(bitmap: np.ndarray, h: np.ndarray) -> np.ndarray:
     return (bitmap[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1
 
 
+def split_words(text: bytes) -> pa.Array:
+    """Words and ends of pieces in normal text, in text order: all that stands between blanks."""
+    gaps = np.flatnonzero(np.frombuffer(text, np.uint8) == ord(" "))
+    lengths = np.diff(gaps, prepend=-1, append=len(text)) - 1
+    lengths = lengths[lengths > 0]
+    kind, width = (pa.string(), np.int32) if len(text) < 1 << 31 else (pa.large_string(), np.int64)
+    offsets = np.zeros(len(lengths) + 1, width)
+    np.cumsum(lengths, out=offsets[1:])
+    return pa.Array.from_buffers(kind, len(lengths), [None, pa.py_buffer(offsets), pa.py_buffer(text.replace(b" ", b""))])
+
+
+def hash_words(words: pa.Array, seed: int) -> np.ndarray:
+    """Numbers below ``PRIME`` for words that are not empty, from all their bytes."""
+    if not len(words):
+        return np.zeros(0, np.int64)
+    _, ends, data = words.cast(pa.large_binary()).buffers()
+    offsets = np.frombuffer(ends, np.int64, len(words) + 1)
+    data = np.frombuffer(data, np.uint8, offsets[-1])
+    place = np.arange(len(data)) - np.repeat(offsets[:-1], np.diff(offsets))
+    sums = np.add.reduceat((data + np.uint64(1)) * WEIGHTS[place % len(WEIGHTS)], offsets[:-1])
+    mixed = (sums ^ (WEIGHTS[1:2] * np.uint64(seed))) * WEIGHTS[2]
+    return (mixed >> np.uint64(33)).astype(np.int64) % PRIME
+
+
 def encode(text: bytes, seed: int):
     """Distinct words of normal text, their hashes, which of them are words, and their numbers in text order."""
-    one = pa.Array.from_buffers(pa.large_string(), 1, [None, pa.py_buffer(np.array([0, len(text)], np.int64)), pa.py_buffer(text)])
-    tokens = pc.list_flatten(pc.ascii_split_whitespace(one))
-    tokens = tokens.filter(pc.greater(pc.binary_length(tokens), 0)).dictionary_encode()
-    words = tokens.dictionary
+    tokens = split_words(text).dictionary_encode()
+    words = tokens.dictionary.cast(pa.large_string())
     ids = tokens.indices.to_numpy(zero_copy_only=False).astype(np.int64)
-    plain = words.cast(pa.large_binary()).to_pylist()
-    is_word = np.array([w != b"." for w in plain], bool)
-    hashes = np.array([zlib.crc32(w, seed) % PRIME for w in plain], np.int64)
-    return words, hashes, is_word, ids
+    is_word = pc.not_equal(words, ".").to_numpy(zero_copy_only=False)
+    return words, hash_words(words, seed), is_word, ids
 
 
 def count_phrases(

@@ -4,10 +4,12 @@ from __future__ import annotations
 
 import random
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from lendscape.llm import collocations, spelling, url_filters
 
@@ -85,6 +87,24 @@ def test_collocations_report_and_ties(spark):
     assert [r[2] for r in got] == ["p q", "r s", "t u"]  # `v w` and `w x` lie in `v w x`
 
 
+def test_collocations_hash_distinct_words_as_arrays():
+    """Encoding many distinct words takes less time than looking at each in Python does."""
+    text = b" . ".join(b"w%x  w%x" % (i, i * 7919 % 300_000) for i in range(300_000))
+    started = time.process_time()
+    plain = [w.encode() for w in dict.fromkeys(text.decode().split())]
+    one_by_one = [zlib.crc32(w, 5) for w in plain]
+    middle = time.process_time()
+    words, hashes, is_word, ids = collocations.encode(text, 5)
+    assert time.process_time() - middle < middle - started
+    assert words.cast("large_binary").to_pylist() == plain and [plain[i] for i in ids[:5]] == text.split()[:5]
+    assert is_word.sum() == len(plain) - 1 and 0 <= hashes.min() and hashes.max() < collocations.PRIME
+    assert len(np.unique(hashes)) > 0.999 * len(one_by_one)
+    assert (collocations.encode(text, 6)[1] != hashes).mean() > 0.999
+    long = [b"a" * 3000, b"a" * 2999, b"b" + b"a" * 2999]
+    assert len(set(collocations.hash_words(pa.array(long).cast("large_string"), 5))) == 3
+    assert [len(x) for x in collocations.encode(b"  ", 5)] == [0, 0, 0, 0]
+
+
 def test_collocations_edges(odd, empty):
     assert collocations.collocations(collocations.frequent_phrases(empty)).count() == 0
     found = {(r["lang"], r["phrase"]): r["f"] for r in collocations.frequent_phrases(odd, chunk=1000).collect()}
