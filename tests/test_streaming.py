@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from lendscape.operators import features
 from lendscape.operators.modelling import score_new_loans, train_default_model
+from lendscape.plans import queries
 from lendscape.schema import LOAN_COLUMNS
 from lendscape.sources import files, tables
 from lendscape.sources.derived_loans import AS_OF, dirty_loans
@@ -101,6 +102,50 @@ def test_resent_records_are_dropped(spark, book, folder, spread):
     assert got.count() == book.count() == got.select("loan_id").distinct().count()
 
 
+def test_whole_rows_are_shuffled_and_remembered_once(book, spark, folder):
+    book.write.parquet(f"{folder}/in")
+    timed = metrics.with_arrival_time(files.with_audit(one_by_one(spark, f"{folder}/in"), LOAN_COLUMNS))
+    plan = metrics.drop_resent(timed)._jdf.queryExecution().logical().toString()
+    assert plan.count("DeduplicateWithinWatermark") == 1
+
+
+def test_copies_are_thinned_where_they_are_read(spark):
+    rows = spark.range(30_000, numPartitions=1).select(
+        F.when(F.col("id") % 3 > 0, F.lit("hot")).alias("loan_id"),
+        F.when(F.col("id") % 3 > 1, F.lit("x")).alias("record_hash"),
+        F.timestamp_seconds(30_000 - F.col("id")).alias("event_time"),
+    )
+    left = rows.where(metrics._newest_copy()(F.col("event_time"), "loan_id", "record_hash"))
+    got = {(r[0], r[1]): (r[2], r[3]) for r in left.groupBy("loan_id", "record_hash").agg(
+        F.count("*"), F.unix_seconds(F.max("event_time"))).collect()}
+    assert set(got) == {(None, None), ("hot", None), ("hot", "x")}
+    assert all(number <= 4 and newest > 29_990 for number, newest in got.values())
+
+
+def test_a_late_copy_does_not_take_a_timely_one_along(spark, folder):
+    import os
+    from pathlib import Path
+
+    late = [("b", "2000-01-01"), ("b", "2000-03-02"), ("c", "2000-01-01")]
+    # the watermark of one micro-batch makes rows late in the next but one
+    for number, rows in enumerate([[("a", "2000-03-01")], [("d", "2000-03-01")], late]):
+        df = spark.createDataFrame([(i, i, d) for i, d in rows], "loan_id string, record_hash string, day string")
+        df.coalesce(1).write.mode("append").parquet(f"{folder}/in")
+        for part in Path(f"{folder}/in").glob("*.parquet"):
+            if part.stat().st_mtime > 1_100_000_000:
+                os.utime(part, (1_000_000_000 + number, 1_000_000_000 + number))
+    timed = metrics.with_event_time(one_by_one(spark, f"{folder}/in"), "day", delay="1 day")
+    metrics.to_files(metrics.drop_resent(timed), f"{folder}/out", f"{folder}/progress").awaitTermination()
+    got = spark.read.parquet(f"{folder}/out").select("loan_id", "day").collect()
+    assert sorted(map(tuple, got)) == [("a", "2000-03-01"), ("b", "2000-03-02"), ("d", "2000-03-01")]
+
+
+def test_pieces_are_spread_over_files(spark, sf_dir):
+    paths = spark.read.parquet(queries.pieces(spark, sf_dir)).select("o_orderkey", "_metadata.file_path")
+    assert paths.select("file_path").distinct().count() == 4 * queries.FILES
+    assert paths.count() == spark.read.parquet(f"{sf_dir}/orders.parquet").count()
+
+
 def test_alerts_of_a_replayed_batch_are_replaced(spark, arrivals, folder):
     for attempt in range(2):
         stream = dirty_loans(one_by_one(spark, arrivals))
