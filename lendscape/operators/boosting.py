@@ -1,10 +1,9 @@
 """Boosted trees that stop when the AUC of a held-out slice has not risen for some rounds.
 
-MLlib judges rounds by loss and can't continue a fitted ensemble. So a booster is
-fitted on few rounds, the AUC of each of its prefixes is measured in one pass over
-the held-out rows, and only if the patience is not used up it is fitted once more, on
-all rounds: never more than the first few are fitted twice. What is kept is always
-judged by its own figures.
+MLlib judges rounds by loss. So a booster is grown for a few rounds, the AUC of each
+of its prefixes is measured in one pass over the held-out rows, and only if the
+patience is not used up it goes on to all rounds. What is kept is always judged by its
+own figures.
 """
 
 from __future__ import annotations
@@ -21,6 +20,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from .histograms import Grower
+
 LEAVES = "_leaves"
 BINS = 1 << 16  # of the probability: scores that share one count as tied
 TREE, LEAF = re.compile(r"^\s*Tree (\d+) \(weight ([^)]+)\):$"), re.compile(r"^\s*Predict: (\S+)$")
@@ -105,10 +106,14 @@ def boost(train: DataFrame, held_out: DataFrame, booster: GBTClassifier, label:
     """Fit up to ``maxIter`` rounds and keep those up to the best AUC on ``held_out``."""
     most = booster.getMaxIter()
     rounds = min(most, 2 * patience)
-    while True:
-        model = booster.copy({booster.maxIter: rounds}).fit(train)
-        aucs = staged_auc(model, held_out, label)
-        kept, done = best_round(aucs, patience)
-        if done or rounds >= most:
-            return first_rounds(model, kept) if kept < len(aucs) else model
-        rounds = most
+    grower = Grower(train, booster)
+    try:
+        while True:
+            model = grower.grow(rounds)
+            aucs = staged_auc(model, held_out, label)
+            kept, done = best_round(aucs, patience)
+            if done or rounds >= most:
+                return first_rounds(model, kept) if kept < len(aucs) else model
+            rounds = most
+    finally:
+        grower.close()
