@@ -9,11 +9,12 @@ from how many registers agree, are greater and are smaller, jointly with the
 known set sizes, and candidates that are not far below the limit are verified
 on their full shingle sets.
 
-No group is expanded into pairs. Each bucket compares its members with one of
-them, members found alike form components, and only buckets that still hold
-several components go on, first with other members in the middle. At last what
-is left is joined once more with the whole test as the join's condition, so that
-no candidate stays untested and only links come out.
+No large group is expanded into pairs. Each bucket compares its members with one
+of them, members found alike form components, and only buckets that still hold
+several components go on, first with other members in the middle. Of what is left,
+buckets of a few members, where unlike texts met by chance, are compared pair by
+pair; large ones are joined once more with the whole test as the join's condition,
+so that no candidate stays untested and only links come out.
 
 Defined cases: a NULL or blank text has no shingles and links with nothing;
 texts with the same words are one class; rows that repeat an id are judged by
@@ -44,6 +45,7 @@ BASE, RATE, TOP = 1.001, 20.0, 65534
 LIMIT_PCT = 80
 SLACK = 6  # standard errors of the estimate
 HUB_ROUNDS = 2
+FEW = 32  # members of a bucket that is expanded into pairs
 SEED = 7
 BLOCK = 512
 
@@ -215,6 +217,22 @@ def _hub_pairs(members: DataFrame, chosen: Column) -> DataFrame:
     return met.select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct()
 
 
+def _few_pairs(few: DataFrame, tested: list[DataFrame]) -> DataFrame:
+    """All pairs of different components inside buckets of at most ``FEW`` members, but for those tested.
+
+    Chance makes most of these buckets. In large corpora they tie nearly all texts
+    together, so pairs are sought by bucket, never by what hangs together.
+    """
+    member = F.struct("node", "component")
+    held = few.groupBy("key").agg(F.sort_array(F.collect_list(member)).alias("all"))
+    one = held.select("all", F.posexplode("all").alias("at", "a"))
+    both = one.select("a", F.explode(F.expr("slice(all, at + 2, size(all))")).alias("b")).where("a.component <> b.component")
+    pairs = both.select(F.col("a.node").alias("a"), F.col("b.node").alias("b")).distinct()
+    for done in tested:
+        pairs = pairs.join(done, ["a", "b"], "left_anti")
+    return pairs
+
+
 def _rest_links(left: DataFrame, sets: DataFrame, limit_pct: int) -> DataFrame:
     """Links between different components of the buckets ``left``, each node sent once.
 
@@ -265,18 +283,23 @@ def near_duplicates(docs: DataFrame, width: int = 5, limit_pct: int = LIMIT_PCT,
     sets = shingle_sets(texts, width).join(ids, ["doc_id", "digest"])
     sets = keep(sets.dropDuplicates(["node"]).select("node", "members"), "sets")
 
-    limit, tested, links, labels = limit_pct / 100, None, None, None
+    limit, tested, links, labels = limit_pct / 100, [], None, None
     left = members
     for turn in range(HUB_ROUNDS + 1):
         if turn < HUB_ROUNDS:
             order = F.struct(F.xxhash64("node", F.lit(turn)).alias("o"), "node", "component") if turn else F.struct("node", "component")
             pairs = _hub_pairs(left, F.min(order))
-            if tested is not None:
-                pairs = pairs.join(tested, ["a", "b"], "left_anti")
-            tested = keep(pairs, "candidates")
-            found = _verified(keep(_plausible(tested, part, limit), "plausible"), sets, limit_pct)
+            for done in tested:
+                pairs = pairs.join(done, ["a", "b"], "left_anti")
+            tested.append(keep(pairs, "candidates"))
+            found = _verified(keep(_plausible(tested[-1], part, limit), "plausible"), sets, limit_pct)
         else:
-            found = _rest_links(left, sets, limit_pct)
+            # How many buckets are large has no bound: these joins never broadcast.
+            large = left.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > FEW).select("key")
+            large = keep(large, "large")
+            few = keep(_few_pairs(left.join(large.hint("merge"), "key", "left_anti"), tested), "few")
+            found = _verified(keep(_plausible(few, part, limit), "plausible"), sets, limit_pct)
+            found = found.union(_rest_links(left.join(large.hint("merge"), "key", "left_semi"), sets, limit_pct)).distinct()
         found = keep(found, "links")
         links = found if links is None else links.union(found)
         labels = keep(components(links), "labels")
