@@ -38,6 +38,7 @@ from pyspark.sql import functions as F
 # Executors don't need this package installed.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
+FROM_ROWS = 300_000  # fewer rows are MLlib's: its jobs are shorter than those of Python workers
 BLOCK = 32_768  # rows counted at once, so that they stay in the processor's cache
 GROUP = 64  # nodes whose histograms are collected at once
 TRIES = 5  # to make lost files anew
@@ -458,6 +459,8 @@ class Grower:
         if not facts or not set(facts) <= {0.0, 1.0} or any(r["least"] is None or r["least"] != r["most"] or not r["least"] > 0 for r in rows):
             return None
         self.rows, self.weight = sum(r["n"] for r in rows), sum(r["sum"] for r in rows)
+        if self.rows < FROM_ROWS:
+            return None
         jvm = self.spark.sparkContext._jvm
         schema = self.train._jdf.schema()
         categories = dict(jvm.scala.jdk.javaapi.CollectionConverters.asJava(

@@ -14,6 +14,11 @@ from pyspark.sql import functions as F
 from lendscape.operators import boosting, histograms
 
 
+@pytest.fixture(autouse=True)
+def any_number_of_rows(monkeypatch):
+    monkeypatch.setattr(histograms, "FROM_ROWS", 0)
+
+
 @pytest.fixture(scope="module")
 def matrix(spark):
     """A weighted, noisy label on numbers, zeros, few values and a category."""
@@ -88,6 +93,11 @@ def test_what_histograms_do_not_cover_goes_to_mllib(matrix):
     assert grower.plan is None and grower.grow(2).getNumTrees == 2
 
 
+def test_few_rows_are_left_to_mllib(matrix, monkeypatch):
+    monkeypatch.setattr(histograms, "FROM_ROWS", 3001)
+    assert histograms.Grower(matrix, booster(2)).plan is None
+
+
 def test_no_number_is_refused(matrix):
     strange = matrix.withColumn("x", F.when(F.rand(1) < 0.01, F.lit(None)).otherwise(F.col("x")))
     with pytest.raises(Exception):
